@@ -31,18 +31,20 @@ def payload_state(blob: Column) -> Column:
 
 
 def human_size(size: Column) -> Column:
-    """Size in its largest fitting binary unit, three decimals.
+    """Size in its largest fitting binary unit, three decimals, ties to even.
 
     Zero bytes read ``0.000 Bit``, the unit below a byte.
     """
+
+    def scaled(power: int) -> Column:
+        value = F.bround(size / F.lit(1024.0**power), 3)
+        return F.format_string(f"%.3f {SIZE_UNITS[power]}", value)
+
     text = F.when(size == 0, F.lit("0.000 Bit"))
-    for power, unit in enumerate(SIZE_UNITS[:-1]):
-        scaled = F.format_string(f"%.3f {unit}", size / F.lit(1024.0**power))
-        text = text.when(size < 1024 ** (power + 1), scaled)
     top = len(SIZE_UNITS) - 1
-    return text.when(
-        size.isNotNull(), F.format_string(f"%.3f {SIZE_UNITS[top]}", size / F.lit(1024.0**top))
-    )
+    for power in range(top):
+        text = text.when(size < 1024 ** (power + 1), scaled(power))
+    return text.when(size.isNotNull(), scaled(top))
 
 
 def file_safe_timestamp(moment: Column) -> Column:

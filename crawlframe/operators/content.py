@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import io
-import lzma
-import tarfile
-import zlib
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlframe.functions.codecs import (
+    from_tar_xz,
+    load_zstandard,
+    stored_sizes,
+    to_tar_xz,
+    train_dictionary,
+)
 from crawlframe.functions.content import digest, human_size, payload_state, size_in_bytes
 from crawlframe.operators.ordered import previous_row
-from crawlframe.profile import ARCHIVED_PAGE_NAME
 
 
 def payload_batch(content: DataFrame) -> DataFrame:
@@ -43,17 +44,7 @@ def compress_page(data: Column) -> Column:
 
     @F.pandas_udf("binary")
     def pack(blobs: pd.Series) -> pd.Series:
-        def archive(blob):
-            if blob is None:
-                return None
-            out, body = io.BytesIO(), bytes(blob)
-            with tarfile.open(mode="w:xz", fileobj=out) as tar:
-                member = tarfile.TarInfo(ARCHIVED_PAGE_NAME)
-                member.size = len(body)
-                tar.addfile(member, io.BytesIO(body))
-            return out.getvalue()
-
-        return blobs.map(archive)
+        return blobs.map(lambda blob: None if blob is None else to_tar_xz(bytes(blob)))
 
     return pack(data)
 
@@ -63,13 +54,7 @@ def decompress_page(data: Column) -> Column:
 
     @F.pandas_udf("binary")
     def unpack(blobs: pd.Series) -> pd.Series:
-        def page(blob):
-            if blob is None:
-                return None
-            with tarfile.open(mode="r:xz", fileobj=io.BytesIO(bytes(blob))) as tar:
-                return tar.extractfile(ARCHIVED_PAGE_NAME).read()
-
-        return blobs.map(page)
+        return blobs.map(lambda blob: None if blob is None else from_tar_xz(bytes(blob)))
 
     return unpack(data)
 
@@ -130,15 +115,6 @@ def page_changes(
     return walked.select(page, visited, key, sha, change.alias("change"))
 
 
-# zstandard is optional: without it the two codecs that need it give null.
-def _zstd():
-    try:
-        import zstandard
-    except ImportError:
-        return None
-    return zstandard
-
-
 def codec_dictionary(
     samples: DataFrame,
     group: str,
@@ -159,14 +135,7 @@ def codec_dictionary(
     """
 
     def train_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        zstandard, trained = _zstd(), None
-        if zstandard is not None:
-            try:
-                trained = zstandard.train_dictionary(
-                    dict_bytes, [bytes(x) for x in pdf["_data"]], k=k, d=d, level=level
-                ).as_bytes()
-            except zstandard.ZstdError:
-                trained = None
+        trained = train_dictionary([bytes(x) for x in pdf["_data"]], dict_bytes, k, d, level)
         return pd.DataFrame(
             {
                 group: [pdf[group].iloc[0]],
@@ -213,21 +182,12 @@ def codec_sizes(data: Column, level: int = 9) -> Column:
 
     @F.pandas_udf("none long, zlib long, lzma long, zstd long")
     def measure(blobs: pd.Series) -> pd.DataFrame:
-        zstandard = _zstd()
+        zstandard = load_zstandard()
         zstd = zstandard and zstandard.ZstdCompressor(level=level)
-
-        def sizes(blob):
-            if blob is None:
-                return [None] * 4
-            body = bytes(blob)
-            return [
-                len(body),
-                len(zlib.compress(body, level)),
-                len(lzma.compress(body)),
-                len(zstd.compress(body)) if zstd else None,
-            ]
-
-        rows = [sizes(blob) for blob in blobs]
+        rows = [
+            [None] * 4 if blob is None else stored_sizes(bytes(blob), level, zstd)
+            for blob in blobs
+        ]
         return pd.DataFrame(rows, columns=["none", "zlib", "lzma", "zstd"]).astype("Int64")
 
     return measure(data)
@@ -271,7 +231,7 @@ def dictionary_profile(
     """
 
     def measure(key_values: tuple, blobs: pd.DataFrame, trained: pd.DataFrame) -> pd.DataFrame:
-        zstandard = _zstd()
+        zstandard = load_zstandard()
         columns = [group, "n", "stored_bytes", "ratios"]
         trained = trained[trained["dictionary"].notna()]
         if zstandard is None or trained.empty or blobs.empty:

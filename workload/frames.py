@@ -18,7 +18,7 @@ PROFILE = SiteProfile()
 ROOT_USERS = SiteProfile(user_path="/")
 ID_IN_URL = "/(?:en|fr|de|es)/([0-9]+)"
 ACCEPTED = r"example\.com/.*|/en/"
-KNOWN_BEFORE = 125
+MOBILE = "https://m."
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,8 +119,9 @@ def nav_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = nav_users(spark, sf_dir).filter(F.col("page_id") < KNOWN_BEFORE)
-    return known.select("user_name").distinct()
+    """Names linked from the mobile pages: those already have a row."""
+    mobile = table(spark, sf_dir, "pages").filter(F.col("url").startswith(MOBILE))
+    return link_users(page_links(mobile), ROOT_USERS).select("user_name").distinct()
 
 
 def message_columns(orders: DataFrame) -> DataFrame:
@@ -300,7 +301,8 @@ SQL: dict[str, str] = {
                 FROM link)
           WHERE user_name IS NOT NULL)""",
     "known": f"""
-        known AS (SELECT DISTINCT user_name FROM nav WHERE page_id < {KNOWN_BEFORE})""",
+        known AS (SELECT DISTINCT user_name FROM nav JOIN pages USING (page_id)
+                  WHERE starts_with(url, '{MOBILE}'))""",
     "message": """
         message AS (
           SELECT o_orderkey AS delivery_tag,
