@@ -14,10 +14,7 @@ def username_from_url(url: Column, profile: SiteProfile = SiteProfile()) -> Colu
 
     The case of the name is kept.
     """
-    return F.coalesce(
-        first_group(url, profile.relative_user_pattern, 1),
-        first_group(url, profile.absolute_user_pattern, 2),
-    )
+    return first_group(url, profile.user_pattern, 2)
 
 
 def view_id_from_href(href: Column, pattern: str = VIEW_ID_PATTERN) -> Column:

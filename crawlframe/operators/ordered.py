@@ -22,7 +22,7 @@ def with_slots(
     values known to be distinct.
     """
     rows = df.withColumn("_at", at).withColumn(
-        "_bucket", F.floor(F.col("_at") / F.lit(width)).cast("long")
+        "_bucket", F.col("_at") - F.pmod("_at", F.lit(width))
     )
     if rows_per_slot is None:
         return rows.withColumn("_slot", F.lit(0).cast("long"))
@@ -54,7 +54,7 @@ def previous_row(
 ) -> DataFrame:
     """Add ``out``: struct of ``carry`` of the row before, per ``keys`` in ``order``.
 
-    ``at`` is a number that never decreases along ``order``.  Rows are sorted
+    ``at`` is a long that never decreases along ``order``; keys are not null.  Rows are sorted
     within a slot (see :func:`with_slots`) only, so a key that holds a third of
     the table is spread over many tasks; the last row of each slot is then
     handed to the first row of the next one through a table with one row per

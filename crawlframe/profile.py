@@ -45,15 +45,13 @@ class SiteProfile:
     user_path: str = "/user/"
     view_path: str = "/view/"
 
-    # In these three patterns a dot matches any character, as stored links
-    # have always been matched.
+    # In these two patterns a dot matches any character, as stored links have
+    # always been matched.
     @property
-    def relative_user_pattern(self) -> str:
-        return f"^{self.user_path}([{USERNAME_CHARS}]+)/?$"
-
-    @property
-    def absolute_user_pattern(self) -> str:
-        return f"^https?://(www.)?{self.domain}{self.user_path}([{USERNAME_CHARS}]+)/?$"
+    def user_pattern(self) -> str:
+        """Relative or absolute user link; the name is group 2."""
+        origin = f"https?://(www.)?{self.domain}"
+        return f"^(?:{origin})?{self.user_path}([{USERNAME_CHARS}]+)/?$"
 
     @property
     def main_page_pattern(self) -> str:
