@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,13 +33,68 @@ _RECORD_TYPE = pa.struct(
 )
 
 
+def hash_folders(spark: SparkSession, root: str, digits: int = 3) -> DataFrame:
+    """``root`` column: the folders that hash prefixes of blobs name, existing or not."""
+    name = F.lower(F.lpad(F.hex("id"), digits, "0"))
+    return spark.range(16**digits).select(
+        F.concat(F.lit(root.rstrip("/") + "/"), name).alias("root")
+    )
+
+
+def list_files(folders: DataFrame, root: str = "root") -> DataFrame:
+    """``path, length, modified`` of all files below the folders, listed by the tasks.
+
+    Every file counts, empty ones and names with a leading ``_`` or ``.`` too.
+    Folders are paths or URIs of any file system that Arrow opens; one that
+    does not exist holds nothing.  The driver never sees the listing.
+    """
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                system, base = fs.FileSystem.from_uri(folder)
+                prefix = folder[: len(folder) - len(base)] if folder.endswith(base) else ""
+                below = fs.FileSelector(base, recursive=True, allow_not_found=True)
+                found = [info for info in system.get_file_info(below) if info.is_file]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([prefix + info.path for info in found], pa.string()),
+                        pa.array([info.size for info in found], pa.int64()),
+                        pa.array(
+                            [info.mtime for info in found], pa.timestamp("us", tz="UTC")
+                        ),
+                    ],
+                    names=["path", "length", "modified"],
+                )
+
+    return folders.select(root).mapInArrow(walk, "path string, length long, modified timestamp")
+
+
+def read_listed_files(listing: DataFrame, tasks: int) -> DataFrame:
+    """``path, content`` of listed files, read by ``tasks`` tasks, a file at a time."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(name, compression=None) as source:
+                    content = source.readall()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path], pa.string()), pa.array([content], pa.binary())],
+                    names=["path", "content"],
+                )
+
+    return listing.select("path").repartition(tasks, "path").mapInArrow(
+        read, "path string, content binary"
+    )
+
+
 def read_archive_files(spark: SparkSession, *roots: str, glob: str | None = None) -> DataFrame:
-    """``path, length, modificationTime, content`` of every file below the roots.
+    """``path, length, modificationTime, content`` of files below the roots, by Spark's own reader.
 
-    ``content`` is read only where a query uses it.  Names that start with
-    ``_`` or ``.`` are skipped by Spark.  The file listing is the driver's, so
-    take a large archive one group of hash folders at a time (roots may be
-    patterns such as ``/archive/0*``).
+    ``content`` is read only where a query uses it.  Spark skips empty files
+    and names that start with ``_`` or ``.``, and its driver holds the
+    listing; :func:`list_files` has neither limit.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,6 @@ def export_blobs(content: DataFrame, root: str) -> DataFrame:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import posixpath
-
-        from pyarrow import fs
-
         files, base = fs.FileSystem.from_uri(root)
         made = set()
         for batch in batches:
