@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -36,8 +38,8 @@ def one(spark):
     return evaluate
 
 
-def executed_plan(df) -> str:
-    """The physical plan as the formatted explain prints it."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
+def explained(df) -> str:
+    """What ``explain("formatted")`` prints."""
+    with contextlib.redirect_stdout(io.StringIO()) as printed:
+        df.explain("formatted")
+    return printed.getvalue()
