@@ -68,6 +68,15 @@ def compile_selector(selector: str) -> list[tuple[str, str | None, list[tuple[st
     return steps[::-1]
 
 
+def plan_selectors(selectors: dict[str, str]) -> dict[str | None, list[tuple[str, list]]]:
+    """Named selectors by the tag of their subject; those of any tag under None."""
+    plan: dict[str | None, list[tuple[str, list]]] = {None: []}
+    for name, selector in selectors.items():
+        steps = compile_selector(selector)
+        plan.setdefault(steps[0][1], []).append((name, steps))
+    return plan
+
+
 def _fits(element: tuple[str, dict[str, str]], tag: str | None, tests: list) -> bool:
     name, attrs = element
     if tag is not None and name != tag:
@@ -84,28 +93,32 @@ def _fits(element: tuple[str, dict[str, str]], tag: str | None, tests: list) ->
     return True
 
 
-def matches(path: list[tuple[str, dict[str, str]]], steps: list) -> bool:
-    """Whether the last element of ``path`` (root first) is what ``steps`` select."""
+def matches(path: list[tuple[str, dict[str, str]]], steps: list, at: int = -1) -> bool:
+    """Whether ``path[at]`` (root first, by default the last element) is what ``steps`` select."""
+    at = len(path) - 1 if at == -1 else at
     combinator, tag, tests = steps[0]
-    if not path or not _fits(path[-1], tag, tests):
+    if not _fits(path[at], tag, tests):
         return False
     if len(steps) == 1:
         return True
-    if combinator == ">":
-        return matches(path[:-1], steps[1:])
-    return any(matches(path[:end], steps[1:]) for end in range(len(path) - 1, 0, -1))
+    lowest = max(at - 1, 0) if combinator == ">" else 0
+    return any(matches(path, steps[1:], above) for above in range(at - 1, lowest - 1, -1))
 
 
 class _Finder(HTMLParser):
-    def __init__(self, selectors: dict[str, list]):
+    def __init__(self, plan: dict[str | None, list[tuple[str, list]]]):
         super().__init__(convert_charrefs=True)
-        self.selectors = selectors
+        self.plan = plan
         self.path: list[tuple[str, dict[str, str]]] = []
         self.hits: list[dict] = []
-        self.counts = dict.fromkeys(selectors, 0)
+        self.counts: dict[str, int] = {}
         self.listening: list[tuple[int, list[str]]] = []
         self.silent = 0
 
+    def updatepos(self, i, j):
+        """Line numbers are not kept."""
+        return j
+
     def _pop(self) -> None:
         tag, _ = self.path.pop()
         self.silent -= tag in SILENT
@@ -124,14 +137,16 @@ class _Finder(HTMLParser):
         self.path.append((tag, kept))
         self.silent += tag in SILENT
         text: list[str] | None = None
-        for name, steps in self.selectors.items():
-            if matches(self.path, steps):
-                text = [] if text is None else text
-                self.hits.append(
-                    {"selector": name, "pos": self.counts[name], "tag": tag,
-                     "attrs": list(kept.items()), "text": text}
-                )
-                self.counts[name] += 1
+        for candidates in (self.plan.get(tag, ()), self.plan[None]):
+            for name, steps in candidates:
+                if matches(self.path, steps):
+                    text = [] if text is None else text
+                    pos = self.counts.get(name, 0)
+                    self.counts[name] = pos + 1
+                    self.hits.append(
+                        {"selector": name, "pos": pos, "tag": tag,
+                         "attrs": list(kept.items()), "text": text}
+                    )
         if tag in VOID:
             self._pop()
         elif text is not None:
@@ -159,9 +174,9 @@ class _Finder(HTMLParser):
                 text.append(data)
 
 
-def find_elements(html: str, selectors: dict[str, list]) -> list[dict]:
-    """Matches in document order; ``pos`` counts per selector from 0."""
-    finder = _Finder(selectors)
+def find_elements(html: str, plan: dict[str | None, list[tuple[str, list]]]) -> list[dict]:
+    """Matches of :func:`plan_selectors` in document order; ``pos`` counts per selector from 0."""
+    finder = _Finder(plan)
     finder.feed(html)
     finder.close()
     for hit in finder.hits:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.functions.markup import compile_selector, find_elements
+from crawlframe.functions.markup import find_elements, plan_selectors
 from crawlframe.functions.text import strip
 from crawlframe.functions.urls import username_from_url, view_id_from_href
 from crawlframe.profile import (
@@ -50,12 +50,12 @@ def with_elements(
     The page is parsed once for all selectors and everything read from it
     later is a column expression on ``elements``, so nothing is shuffled.
     """
-    compiled = {name: compile_selector(selector) for name, selector in selectors.items()}
+    plan = plan_selectors(selectors)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                None if html is None else find_elements(html, compiled)
+                None if html is None else find_elements(html, plan)
                 for html in (cell.as_py() for cell in batch.column(1))
             ]
             yield pa.RecordBatch.from_arrays(

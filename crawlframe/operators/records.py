@@ -11,7 +11,7 @@ from crawlframe.functions.content import decode_page
 from crawlframe.functions.headers import warcinfo_entries, warcinfo_fields, warcinfo_map
 from crawlframe.operators.pages import STATUS_SELECTORS, page_status_of, with_elements
 from crawlframe.profile import SiteProfile
-from crawlframe.sources.archives import http_body, with_records
+from crawlframe.sources.archives import with_records
 
 WARCINFO, RESPONSE = "warcinfo", "response"
 
@@ -65,20 +65,22 @@ def parse_archives(files: DataFrame, profile: SiteProfile = SiteProfile()) -> Da
     ``path, error, sha512, attempt_id, site_submission_id, visited_text, worker,
     main_uri, page_bytes``.  Blocks of other records never leave the parser.
     """
-    parsed = with_records(files, (WARCINFO, RESPONSE), block_uri=profile.main_page_pattern)
+    parsed = with_records(
+        files, (WARCINFO, RESPONSE), block_uri=profile.main_page_pattern, http_payload=True
+    )
     info = first_record(is_warcinfo)["block"]
     main = first_record(lambda r: is_main_response(r, profile))
     return (
         parsed.select("path", "error", "sha512", info.alias("_info"), main.alias("_main"))
         .withColumn("_info", decode_page(F.col("_info")))
-        .withColumn("_headers", warcinfo_map(F.col("_info")))
+        .withColumn("_fields", warcinfo_fields(warcinfo_map(F.col("_info")), profile))
         .select(
             "path",
             "error",
             "sha512",
-            F.inline(F.array(warcinfo_fields(F.col("_headers"), profile))),
+            "_fields.*",
             F.col("_main.warc_target_uri").alias("main_uri"),
-            http_body(F.col("_main.block")).alias("page_bytes"),
+            F.col("_main.block").alias("page_bytes"),
         )
     )
 

@@ -49,11 +49,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
     """Give a plain scan at least as many partitions as there are cores.
 
     For tables that feed Python workers.  A table of many files already has
-    the partitions and is returned as it is, without a shuffle.
+    the partitions and is returned as it is, without a shuffle; a small one is
+    spread by its unique ``key``.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

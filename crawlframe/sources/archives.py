@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.sources.warc_format import iter_records, plain_bytes, response_payload
+from crawlframe.sources.warc_format import iter_records, payload_or_none, plain_bytes
 
 # Local paths lose their scheme, as the crawler stored them; others keep it.
 LOCAL_SCHEME = "^file:(//)?(?=/)"
@@ -117,6 +116,7 @@ def with_records(
     files: DataFrame,
     block_types: tuple[str, ...] = (),
     block_uri: str | None = None,
+    http_payload: bool = False,
     path: str = "path",
     content: str = "content",
 ) -> DataFrame:
@@ -125,7 +125,9 @@ def with_records(
     Records come in file order; ``position`` is the byte offset in the
     unpacked archive.  A record's bytes are kept in ``block`` only if its type
     is in ``block_types`` and, for a response, its URI starts with a match of
-    ``block_uri``.  A damaged file keeps the records before the damage and
+    ``block_uri``.  With ``http_payload`` a response's ``block`` is the page
+    itself, without HTTP headers, chunks and compression, or null if it cannot
+    be unpacked.  A damaged file keeps the records before the damage and
     says why in ``error``.  ``sha512`` is that of the file as stored.  A file must fit in one binary value (2 GB).
     """
 
@@ -140,7 +142,8 @@ def with_records(
                 headers.get("warc-target-uri", "")
             ):
                 return None
-            return bytes(body)
+            block = bytes(body)
+            return payload_or_none(block) if http_payload and kind == "response" else block
 
         for batch in batches:
             for name, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -242,12 +245,6 @@ def http_body(block: Column) -> Column:
 
     @F.pandas_udf("binary")
     def unpack(blocks: pd.Series) -> pd.Series:
-        def body(block):
-            try:
-                return None if block is None else response_payload(bytes(block))
-            except (ValueError, OSError, EOFError, zlib.error):
-                return None
-
-        return blocks.map(body)
+        return blocks.map(lambda block: None if block is None else payload_or_none(bytes(block)))
 
     return unpack(block)

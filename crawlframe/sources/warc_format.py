@@ -63,6 +63,13 @@ def response_payload(block: bytes) -> bytes:
     return body
 
 
+def payload_or_none(block: bytes) -> bytes | None:
+    try:
+        return response_payload(block)
+    except (ValueError, OSError, EOFError, zlib.error):
+        return None
+
+
 def _join_chunks(body: bytes) -> bytes:
     parts, at = [], 0
     while True:

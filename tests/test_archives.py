@@ -94,6 +94,14 @@ def test_verdicts(spark):
     assert default["wall"] == default["away"] == "present"
 
 
+def test_http_body(spark):
+    blocks = [response(b"<p>"), response(gzip.compress(b"z"), b"Content-Encoding: gzip\r\n"),
+              response(b"zz", b"Content-Encoding: gzip\r\n"), None]
+    table = spark.createDataFrame([(b and bytearray(b),) for b in blocks], "block binary")
+    bodies = [r[0] and bytes(r[0]) for r in table.select(A.http_body(F.col("block"))).collect()]
+    assert bodies == [b"<p>", b"z", None, None]
+
+
 def test_audit_from_a_folder(spark, tmp_path):
     (tmp_path / "abc").mkdir()
     (tmp_path / "abc" / "one.warc").write_bytes(archive(b"<p>"))

@@ -3,13 +3,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from crawlframe.functions.markup import compile_selector, find_elements
+from crawlframe.functions.markup import compile_selector, find_elements, plan_selectors
 from crawlframe.operators import pages as P
 from crawlframe.profile import DELETED_TEXT, GDPR_BODY_ID
 
 
 def found(html, selector, field="text"):
-    return [hit[field] for hit in find_elements(html, {"s": compile_selector(selector)})]
+    return [hit[field] for hit in find_elements(html, plan_selectors({"s": selector}))]
 
 
 @pytest.mark.parametrize(
@@ -47,9 +47,14 @@ def test_unknown_selectors_are_refused(selector):
         compile_selector(selector)
 
 
+def test_deep_pages_are_read_whole():
+    html = "<div class=top>" + "<i>" * 3000 + "<b>x</b>"
+    assert found(html, "div.top b") == ["x"] and found(html, "div.top > b") == []
+
+
 def test_positions_and_first_of_repeated_attributes():
-    hits = find_elements("<a href=1 href=2></a><b></b><a></a>", {"l": compile_selector("a"),
-                                                                "b": compile_selector("b")})
+    plan = plan_selectors({"l": "a", "b": "b"})
+    hits = find_elements("<a href=1 href=2></a><b></b><a></a>", plan)
     assert [(h["selector"], h["pos"]) for h in hits] == [("l", 0), ("b", 0), ("l", 1)]
     assert dict(hits[0]["attrs"]) == {"href": "1"}
 

