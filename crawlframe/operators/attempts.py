@@ -94,7 +94,7 @@ def worker_sessions(
     attempts: DataFrame,
     idle_seconds: int = 1800,
     bucket_seconds: int = 86_400,
-    rows_per_slot: int = 1_000_000,
+    rows_per_slot: int = 500_000,
 ) -> DataFrame:
     """Runs of attempts of a worker with no pause longer than ``idle_seconds``.
 
@@ -107,8 +107,10 @@ def worker_sessions(
     order = ["date_visited", "scrape_attempt_id"]
     micros = F.unix_micros(F.col("date_visited").cast("timestamp"))
     rows = attempts.select(worker, *order, micros.alias("_t"))
+    newest = F.struct(F.max("_t").alias("_t"))
     walked = previous_row(
-        rows, [worker], order, F.col("_t"), bucket_seconds * second, ["_t"], "_prev", rows_per_slot
+        rows, [worker], order, F.col("_t"), bucket_seconds * second, ["_t"], "_prev",
+        rows_per_slot, newest,
     )
     pause = F.col("_t") - F.col("_prev._t")
     starts = F.col("_prev").isNull() | (pause > idle_seconds * second)
@@ -126,21 +128,22 @@ def worker_sessions(
         )
         .withColumn("_last_no", F.max("_no").over(Window.partitionBy(*slot)))
     )
-    # A piece that starts in its slot and is followed there by another is whole.
+    # A piece that starts in its slot and is followed there by another is whole
+    # and gets a lane to itself; the others of a worker share lane 0.
     whole = (F.col("_starts") == 1) & (F.col("_no") < F.col("_last_no"))
-    out = [worker, "session_start", "session_end", "n_attempts"]
-    along = Window.partitionBy(worker).orderBy("_bucket", "_slot", "_no")
-    stitched = (
-        pieces.filter(~whole)
+    lane = F.when(whole, F.xxhash64("_bucket", "_slot", "_no")).otherwise(0)
+    along = Window.partitionBy(worker, "_lane").orderBy("_bucket", "_slot", "_no")
+    return (
+        pieces.withColumn("_lane", lane)
         .withColumn("_session", F.sum("_starts").over(along))
-        .groupBy(worker, "_session")
+        .groupBy(worker, "_lane", "_session")
         .agg(
             F.min("session_start").alias("session_start"),
             F.max("session_end").alias("session_end"),
             F.sum("n_attempts").alias("n_attempts"),
         )
+        .select(worker, "session_start", "session_end", "n_attempts")
     )
-    return pieces.filter(whole).select(*out).unionByName(stitched.select(*out))
 
 
 def orphan_rows(content: DataFrame, attempts: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def page_changes(
     visited: str = "date_visited",
     key: str = "submission_webpage_id",
     bucket_seconds: int = 86_400,
-    rows_per_slot: int = 1_000_000,
+    rows_per_slot: int = 500_000,
 ) -> DataFrame:
     """Each visit with ``change``: ``first``, ``changed`` or ``unchanged``."""
     at = F.unix_micros(F.col(visited).cast("timestamp"))

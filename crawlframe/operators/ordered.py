@@ -50,7 +50,8 @@ def previous_row(
     width: int,
     carry: list[str],
     out: str,
-    rows_per_slot: int | None = 1_000_000,
+    rows_per_slot: int | None = 500_000,
+    last: Column | None = None,
 ) -> DataFrame:
     """Add ``out``: struct of ``carry`` of the row before, per ``keys`` in ``order``.
 
@@ -59,15 +60,18 @@ def previous_row(
     the table is spread over many tasks; the last row of each slot is then
     handed to the first row of the next one through a table with one row per
     slot.  ``out`` is null on the first row of a key.  The slot columns stay,
-    so that a caller can go on in the same partitioning.
+    so that a caller can go on in the same partitioning.  ``last`` may give a
+    cheaper aggregate for the ``carry`` struct of a slot's last row.
     """
     rows = with_slots(df, keys, at, width, rows_per_slot)
     slots = slot_columns(keys)
     carried = F.struct(*carry)
 
-    last = rows.groupBy(*slots).agg(F.max_by(carried, F.struct(*order)).alias("_last"))
+    if last is None:
+        last = F.max_by(carried, F.struct(*order))
     across = Window.partitionBy(*keys).orderBy("_bucket", "_slot")
-    edges = last.select(*slots, F.lag("_last").over(across).alias("_before"))
+    ends = rows.groupBy(*slots).agg(last.alias("_last"))
+    edges = ends.select(*slots, F.lag("_last").over(across).alias("_before"))
 
     inside = Window.partitionBy(*slots).orderBy(*order)
     walked = rows.withColumn(out, F.lag(carried).over(inside))
