@@ -12,6 +12,20 @@ def _names(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
+def only_keys(
+    table: DataFrame, keys: DataFrame, column: str, n_keys: int, most: int = 1_000_000
+) -> DataFrame:
+    """``table`` without rows that a later join with ``keys`` cannot use.
+
+    ``n_keys`` is the number of rows of ``keys``, counted by the caller.  Up to
+    ``most`` of them are broadcast, so the table is filtered where it is read
+    and only what is left is shuffled.  Beyond that the table stays whole.
+    """
+    if n_keys > most:
+        return table
+    return table.join(F.broadcast(keys.select(column)), column, "left_semi")
+
+
 def lookup_unique(ids: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """``(found, violations)`` for lookups that may match one row at most.
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlframe.operators.attempts import claim_submissions
+from crawlframe.operators.names import only_keys
 from crawlframe.schemas import SITE_ID
 from crawlframe.sources.queue import parse_message_id, split_messages
-from crawlframe.streaming.batches import read_batches, run_batches, write_batch
+from crawlframe.streaming.batches import held, read_batches, run_batches, write_batch
 
 ATTEMPT_COLUMNS = (
     f"scrape_attempt_id long, {SITE_ID} long, date_visited timestamp,"
@@ -50,27 +51,23 @@ def stream_attempts(
     and the repeat overwrites it: no message is lost, no row doubled.
     """
 
+    done = F.col("content_sha512").isNotNull()
+
     def each(batch: DataFrame, batch_id: int) -> None:
         good, _ = split_messages(batch)
-        attempts = attempt_rows(good, worker)
-        worked = attempts.join(contents, SITE_ID, "left")
-        done = F.col("content_sha512").isNotNull()
-        write_batch(
-            worked.filter(done).select(
+        with held(attempt_rows(good, worker)) as (attempts, n_attempts):
+            stored = only_keys(contents, attempts, SITE_ID, n_attempts)
+            worked = attempts.join(stored, SITE_ID, "left")
+            content = worked.filter(done).select(
                 F.xxhash64("scrape_attempt_id", "content_sha512").alias("content_id"),
                 F.col("scrape_attempt_id").alias("attempt_id"),
                 "content_length",
                 "content_sha512",
-            ),
-            content_path,
-            batch_id,
-        )
-        status = F.when(done, "finished").otherwise("todo")
-        write_batch(
-            worked.withColumn("processed_status", status).select(*attempts.columns),
-            attempts_path,
-            batch_id,
-        )
+            )
+            write_batch(content, content_path, batch_id)
+            status = F.when(done, "finished").otherwise("todo")
+            log = worked.withColumn("processed_status", status).select(*attempts.columns)
+            write_batch(log, attempts_path, batch_id)
 
     return run_batches(messages, each, checkpoint)
 
@@ -98,11 +95,13 @@ def stream_skip_finished(
     def each(batch: DataFrame, batch_id: int) -> None:
         earlier = read_batches(batch.sparkSession, claims_path, "id long, action string", batch_id)
         good, _ = split_messages(batch)
-        ids = good.select(F.col("submission_id").alias("id")).join(
-            earlier.select("id"), "id", "left_anti"
-        )
-        claims = claim_submissions(ids, submissions).filter(F.col("action") != "skip")
-        write_batch(claims, claims_path, batch_id)
+        with held(good.select(F.col("submission_id").alias(SITE_ID)).distinct()) as (ids, n_ids):
+            done = only_keys(earlier.withColumnRenamed("id", SITE_ID), ids, SITE_ID, n_ids)
+            work = ids.join(done.select(SITE_ID), SITE_ID, "left_anti")
+            claims = claim_submissions(
+                work, only_keys(submissions, ids, SITE_ID, n_ids), SITE_ID
+            )
+            write_batch(claims.filter(F.col("action") != "skip"), claims_path, batch_id)
 
     return run_batches(messages, each, checkpoint)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,16 @@ def read_batches(
     return rows if before is None else rows.filter(F.col(BATCH) < before)
 
 
+@contextmanager
+def held(rows: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """Rows of a micro-batch kept for several uses, and their number."""
+    kept = rows.persist()
+    try:
+        yield kept, kept.count()
+    finally:
+        kept.unpersist()
+
+
 def run_batches(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],

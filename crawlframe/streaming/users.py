@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlframe.operators.names import insert_ignore_users
-from crawlframe.streaming.batches import read_batches, run_batches, write_batch
+from crawlframe.operators.names import NAME, insert_ignore_users, only_keys
+from crawlframe.streaming.batches import held, read_batches, run_batches, write_batch
 
 USER_COLUMNS = "user_id long, date_added timestamp, user_name string"
 
@@ -18,14 +17,16 @@ def stream_insert_users(
     """Add the names of a stream that neither ``users`` nor an earlier batch has.
 
     One writer takes the place of the race between workers; a repeated batch
-    overwrites its own rows.
+    overwrites its own rows.  A batch's names are counted, and if they are few
+    the known names are filtered by them where they are read.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         earlier = read_batches(batch.sparkSession, added_path, USER_COLUMNS, batch_id)
-        known = users.select("user_name").union(earlier.select("user_name"))
-        write_batch(
-            insert_ignore_users(batch, known, date_added.cast("timestamp")), added_path, batch_id
-        )
+        with held(batch.select(NAME).distinct()) as (names, n_names):
+            known = users.select(NAME).union(earlier.select(NAME))
+            known = only_keys(known, names, NAME, n_names)
+            rows = insert_ignore_users(names, known, date_added.cast("timestamp"))
+            write_batch(rows, added_path, batch_id)
 
     return run_batches(found, each, checkpoint)

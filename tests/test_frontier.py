@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from crawlframe.operators import frontier as R
 from crawlframe.plans.catch_up import catch_up_messages, newest_on_site

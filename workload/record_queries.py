@@ -64,7 +64,10 @@ RECORDS = f"""
       SELECT path, len1 + len2, '<urn:response:' || page_id || '>', 'response',
              'application/http; msgtype=response', target FROM sized)
 """
-MAIN = "warc_type = 'response' AND regexp_matches(warc_target_uri, '^https://www.gallery.example/view/[0-9]+/')"
+MAIN = (
+    "warc_type = 'response' AND"
+    " regexp_matches(warc_target_uri, '^https://www.gallery.example/view/[0-9]+/')"
+)
 
 
 def _records(spark, d):
