@@ -128,7 +128,8 @@ def with_records(
     ``block_uri``.  With ``http_payload`` a response's ``block`` is the page
     itself, without HTTP headers, chunks and compression, or null if it cannot
     be unpacked.  A damaged file keeps the records before the damage and
-    says why in ``error``.  ``sha512`` is that of the file as stored.  A file must fit in one binary value (2 GB).
+    says why in ``error``.  ``sha512`` is that of the file as stored.  A file
+    must fit in one binary value (2 GB).
     """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,3 +81,13 @@ def with_surrogate_key(
 def append_rows(df: DataFrame, path: str, table: str, format: str = "parquet") -> None:
     """Append rows that already carry their key to the table at ``path``."""
     conform(df, table).write.format(format).mode("append").save(path)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Save as a catalog table whose rows are bucketed and sorted by ``key``.
+
+    Tables with equally many buckets join on their keys without a shuffle.
+    Meant for unique keys, such as attempt ids: a bucket is not split when a
+    key in it has very many rows.
+    """
+    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="8g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -12,6 +12,7 @@ from crawlframe.operators import attempts as A
 from crawlframe.operators import content as C
 from crawlframe.operators import frontier, names, pages, records
 from crawlframe.sources import archives, blobs
+from crawlframe.sources.tables import save_bucketed
 from workload import frames
 from workload.frames import PROFILE
 
@@ -138,3 +139,20 @@ def test_blob_table_splits_crowded_folders(spark, content):
 def test_sketches_have_fixed_size(spark):
     mentions = spark.createDataFrame([("a", "x")], "role string, user_name string")
     assert "approx_count_distinct" in explained(names.approx_users(mentions))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, attempts, content, no_broadcast):
+    save_bucketed(attempts, "bucketed_attempt", "scrape_attempt_id", 8)
+    save_bucketed(content, "bucketed_content", "attempt_id", 8)
+    joined = A.content_with_attempt(spark.table("bucketed_content"), spark.table("bucketed_attempt"))
+    plan = explained(joined)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == A.content_with_attempt(content, attempts).count()
+
+
+def test_few_keys_filter_a_snapshot_where_it_is_read(spark, attempts, no_broadcast):
+    keys = spark.createDataFrame([(1,)], "site_submission_id long")
+    few = names.only_keys(attempts, keys, "site_submission_id", 1)
+    plan = explained(few)
+    assert "BroadcastHashJoin LeftSemi" in plan and "hashpartitioning" not in plan
+    assert names.only_keys(attempts, keys, "site_submission_id", 2, most=1) is attempts
