@@ -1,13 +1,15 @@
 """Find the elements of one page that match a few CSS selectors.
 
-Runs inside Python tasks.  A page is read once, tag by tag; the open elements
-form a stack, and each new element is tested against all selectors at once.
+Runs inside Python tasks.  A page is read once, tag by tag.  The open elements
+form a stack that carries which parts of which selectors have been met so far,
+so the work grows with the page's length alone, however deep or broken it is.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from dataclasses import dataclass, field
+from html import unescape
 
 from crawlframe.sources.shipping import ship
 
@@ -15,8 +17,10 @@ from crawlframe.sources.shipping import ship
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-# Text in these is not text of the page.
-SILENT = frozenset("script style template".split())
+# Text in these is not text of the page; in the first two it is
+# not markup either.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style")}
+SILENT = "template"
 # A start tag (left) ends an open element (right) of its kind.
 ENDED_BY_START = {
     "a": {"a"},
@@ -45,9 +49,45 @@ END_RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody":
 _SIMPLE = re.compile(r"(?P<tag>[a-zA-Z][\w-]*)?(?P<rest>(?:[.#][\w-]+|\[[\w-]+\])*)\Z")
 _PART = re.compile(r"([.#])([\w-]+)|\[([\w-]+)\]")
 
+# The start of a tag, or of a comment or other markup (no group then).
+_OPENING = re.compile(r"<(?:/?([a-zA-Z])|[!?/])")
+# A whole tag; a quote after "=" hides ">" up to the next such quote.
+_TAG = re.compile(
+    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>"
+)
+_ATTRIBUTE = re.compile(
+    r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+"
+)
+_COMMENT_END = re.compile(r"--!?>")
+_EMPTY_COMMENT = re.compile(r"<!---?>")
+
+
+@dataclass(frozen=True)
+class Step:
+    """One compound of a selector.
+
+    ``bit`` marks elements that meet it; ``needs`` is the bit of the compound
+    to its left (0 without one), to be met by the parent if ``child``, else by
+    any ancestor.  ``name`` is set on the last compound, whose elements count.
+    """
+
+    bit: int
+    needs: int
+    child: bool
+    tests: tuple[tuple[str, str], ...]
+    name: str | None
+
+
+@dataclass
+class Plan:
+    """Steps by the tag they may meet; ``anywhere`` for all tags not listed."""
+
+    by_tag: dict[str, list[Step]] = field(default_factory=dict)
+    anywhere: list[Step] = field(default_factory=list)
+
 
 def compile_selector(selector: str) -> list[tuple[str, str | None, list[tuple[str, str]]]]:
-    """``(combinator, tag, tests)`` per compound, the subject of the selector first.
+    """``(combinator, tag, tests)`` per compound, from left to right.
 
     Understands tags, ``.class``, ``#id``, ``[attribute]``, descendants and ``>``.
     """
@@ -57,30 +97,45 @@ def compile_selector(selector: str) -> list[tuple[str, str | None, list[tuple[st
             combinator = ">"
             continue
         found = _SIMPLE.match(word)
-        if not found or not word:
+        if not found:
             raise ValueError(f"selector not understood: {selector}")
         tests = [(mark or "[", name or attr) for mark, name, attr in _PART.findall(found["rest"])]
         tag = found["tag"].lower() if found["tag"] else None
         steps.append((combinator, tag, tests))
         combinator = " "
-    if not steps or combinator == ">":
+    if not steps or combinator == ">" or steps[0][0] == ">":
         raise ValueError(f"selector not understood: {selector}")
-    return steps[::-1]
+    return steps
 
 
-def plan_selectors(selectors: dict[str, str]) -> dict[str | None, list[tuple[str, list]]]:
-    """Named selectors by the tag of their subject; those of any tag under None."""
-    plan: dict[str | None, list[tuple[str, list]]] = {None: []}
+def plan_selectors(selectors: dict[str, str]) -> Plan:
+    """All selectors as one plan; their names tell their matches apart."""
+    plan, tagged, bit = Plan(), [], 1
     for name, selector in selectors.items():
-        steps = compile_selector(selector)
-        plan.setdefault(steps[0][1], []).append((name, steps))
+        needs, compounds = 0, compile_selector(selector)
+        for place, (combinator, tag, tests) in enumerate(compounds, 1):
+            subject = name if place == len(compounds) else None
+            step = Step(bit, needs, combinator == ">", tuple(tests), subject)
+            if tag is None:
+                plan.anywhere.append(step)
+            else:
+                tagged.append((tag, step))
+            needs, bit = bit, bit << 1
+    for tag, step in tagged:
+        plan.by_tag.setdefault(tag, list(plan.anywhere)).append(step)
     return plan
 
 
-def _fits(element: tuple[str, dict[str, str]], tag: str | None, tests: list) -> bool:
-    name, attrs = element
-    if tag is not None and name != tag:
-        return False
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag; the first of several equal names counts."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        value = double or single or bare
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+def _passes(tests: tuple[tuple[str, str], ...], attrs: dict[str, str]) -> bool:
     for kind, value in tests:
         if kind == ".":
             if value not in attrs.get("class", "").split():
@@ -93,95 +148,121 @@ def _fits(element: tuple[str, dict[str, str]], tag: str | None, tests: list) ->
     return True
 
 
-def matches(path: list[tuple[str, dict[str, str]]], steps: list, at: int = -1) -> bool:
-    """Whether ``path[at]`` (root first, by default the last element) is what ``steps`` select."""
-    at = len(path) - 1 if at == -1 else at
-    combinator, tag, tests = steps[0]
-    if not _fits(path[at], tag, tests):
-        return False
-    if len(steps) == 1:
-        return True
-    lowest = max(at - 1, 0) if combinator == ">" else 0
-    return any(matches(path, steps[1:], above) for above in range(at - 1, lowest - 1, -1))
-
+class _Page:
+    """The open elements of a page while it is read, and the matches so far."""
 
-class _Finder(HTMLParser):
-    def __init__(self, plan: dict[str | None, list[tuple[str, list]]]):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, plan: Plan):
         self.plan = plan
-        self.path: list[tuple[str, dict[str, str]]] = []
         self.hits: list[dict] = []
         self.counts: dict[str, int] = {}
+        self.tags: list[str] = []
+        self.met: list[int] = []  # steps met by the element itself
+        self.met_above: list[int] = []  # and by it or any element around it
+        self.places: dict[str, list[int]] = {}  # depths of the open elements of a tag
         self.listening: list[tuple[int, list[str]]] = []
-        self.silent = 0
 
-    def updatepos(self, i, j):
-        """Line numbers are not kept."""
-        return j
-
-    def _pop(self) -> None:
-        tag, _ = self.path.pop()
-        self.silent -= tag in SILENT
-        while self.listening and self.listening[-1][0] > len(self.path):
-            self.listening.pop()
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("html", "head", "body") and any(tag == name for name, _ in self.path):
+    def open(self, tag: str, attr_text: str) -> None:
+        if tag in ("html", "head", "body") and self.places.get(tag):
             return
-        ended = ENDED_BY_START.get(tag, ())
-        while self.path and self.path[-1][0] in ended:
-            self._pop()
-        kept: dict[str, str] = {}
-        for name, value in attrs:
-            kept.setdefault(name, value or "")
-        self.path.append((tag, kept))
-        self.silent += tag in SILENT
-        text: list[str] | None = None
-        for candidates in (self.plan.get(tag, ()), self.plan[None]):
-            for name, steps in candidates:
-                if matches(self.path, steps):
-                    text = [] if text is None else text
-                    pos = self.counts.get(name, 0)
-                    self.counts[name] = pos + 1
-                    self.hits.append(
-                        {"selector": name, "pos": pos, "tag": tag,
-                         "attrs": list(kept.items()), "text": text}
-                    )
+        ended = ENDED_BY_START.get(tag)
+        while ended and self.tags and self.tags[-1] in ended:
+            self.close_to(len(self.tags) - 1)
+        parent, around = (self.met[-1], self.met_above[-1]) if self.met else (0, 0)
+        met, attrs, text = 0, None, None
+        for step in self.plan.by_tag.get(tag, self.plan.anywhere):
+            if step.needs and not (parent if step.child else around) & step.needs:
+                continue
+            attrs = _attributes(attr_text) if attrs is None else attrs
+            if not _passes(step.tests, attrs):
+                continue
+            met |= step.bit
+            if step.name is not None:
+                text = [] if text is None else text
+                pos = self.counts.get(step.name, 0)
+                self.counts[step.name] = pos + 1
+                self.hits.append(
+                    {"selector": step.name, "pos": pos, "tag": tag,
+                     "attrs": list(attrs.items()), "text": text}
+                )
         if tag in VOID:
-            self._pop()
-        elif text is not None:
-            self.listening.append((len(self.path), text))
+            return
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+        self.met.append(met)
+        self.met_above.append(around | met)
+        if text is not None:
+            self.listening.append((len(self.tags), text))
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+    def deepest(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
-    def handle_endtag(self, tag):
-        if tag in ("html", "body"):
+    def close(self, tag: str) -> None:
+        depth = self.deepest(tag)
+        if depth < 0 or tag in ("html", "body"):
             return
-        rank = END_RANK.get(tag, 100)
-        for depth in range(len(self.path) - 1, -1, -1):
-            name = self.path[depth][0]
-            if name == tag:
-                while len(self.path) > depth:
-                    self._pop()
-                return
-            if END_RANK.get(name, 100) > rank:
-                return
-
-    def handle_data(self, data):
-        if not self.silent:
-            for _, text in self.listening:
-                text.append(data)
-
-
-def find_elements(html: str, plan: dict[str | None, list[tuple[str, list]]]) -> list[dict]:
-    """Matches of :func:`plan_selectors` in document order; ``pos`` counts per selector from 0."""
-    finder = _Finder(plan)
-    finder.feed(html)
-    finder.close()
-    for hit in finder.hits:
+        if depth < len(self.tags) - 1:
+            rank = END_RANK.get(tag, 100)
+            for other, other_rank in END_RANK.items():
+                if other_rank > rank and self.deepest(other) > depth:
+                    return
+        self.close_to(depth)
+
+    def close_to(self, depth: int) -> None:
+        while len(self.tags) > depth:
+            self.places[self.tags.pop()].pop()
+            self.met.pop()
+            self.met_above.pop()
+        while self.listening and self.listening[-1][0] > depth:
+            self.listening.pop()
+
+    def hear(self, text: str) -> None:
+        if text and self.listening and not self.places.get(SILENT):
+            text = unescape(text) if "&" in text else text
+            for _, parts in self.listening:
+                parts.append(text)
+
+
+def _skip_declaration(html: str, at: int) -> int:
+    """Where the comment or unknown markup at ``at`` ends, at the latest with the page."""
+    if html.startswith("<!--", at):
+        found = _EMPTY_COMMENT.match(html, at) or _COMMENT_END.search(html, at + 4)
+        return found.end() if found else len(html)
+    return html.find(">", at) + 1 or len(html)
+
+
+def find_elements(html: str, plan: Plan) -> list[dict]:
+    """Matches of a plan in document order; ``pos`` counts per selector from 0."""
+    page, at, end = _Page(plan), 0, len(html)
+    while at < end:
+        mark = html.find("<", at)
+        if mark < 0:
+            page.hear(html[at:])
+            break
+        page.hear(html[at:mark])
+        opening = _OPENING.match(html, mark)
+        if opening is None:
+            page.hear("<")
+            at = mark + 1
+            continue
+        if opening.group(1) is None:
+            at = _skip_declaration(html, mark)
+            continue
+        found = _TAG.match(html, mark)
+        if found is None:
+            break  # a tag that never ends
+        closing, tag, attr_text = found.groups()
+        at, tag = found.end(), tag.lower()
+        if closing:
+            page.close(tag)
+            continue
+        page.open(tag, attr_text)
+        if tag in RAW:
+            raw_end = RAW[tag].search(html, at)
+            at = raw_end.start() if raw_end else end
+    for hit in page.hits:
         hit["text"] = "".join(hit["text"])
-    return finder.hits
+    return page.hits
 
 
 ship(__name__)

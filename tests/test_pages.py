@@ -35,6 +35,10 @@ def found(html, selector, field="text"):
         ("<html><body id=a><html><body id=b><p>x</body></html><p>y", "body#a p", ["x", "y"]),
         ("<DIV CLASS=x>1</DIV>", "div.x", ["1"]),
         ("", "p", []),
+        ("<![if !IE]><p>a<![endif]><p>b", "p", ["a", "b"]),
+        ("<![foo[x]]><p>a", "p", ["a"]),
+        ("<p>a<![CDATA[ x ]]><?php ?>b", "p", ["ab"]),
+        ("<![foo[", "p", []),
     ],
 )
 def test_selectors(html, selector, texts):

@@ -5,8 +5,11 @@ from __future__ import annotations
 import gzip
 import random
 import re
+import time
+from html.parser import HTMLParser
 from xml.etree import ElementTree
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -171,8 +174,41 @@ def test_any_records_come_back(records):
     assert got == records
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=200))
+class Listed(HTMLParser):
+    """Start tags and their attributes as the standard library reads them."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.found = []
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.found.append((tag, {name: value or "" for name, value in reversed(attrs)}))
+
+
+def test_given_pages_read_as_the_standard_library_reads_them(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    for (html,) in pages:
+        expected = Listed(html).found
+        plan = plan_selectors({tag: tag for tag, _ in expected})
+        got = [(h["tag"], dict(h["attrs"])) for h in find_elements(html, plan)]
+        assert got == expected
+
+
+@pytest.mark.parametrize(
+    "piece", ["<!--", "<a ", "<![", "</", "<", "<i>x</b>", "<b></i>", "<div><a>", "<a b='", "<p>",
+              '<a b="', "<script>", "<div class=x>", "</div>", "<a =", "<!", "&#", "<td></b>"]
+)
+def test_broken_pages_take_linear_time(piece):
+    plan = plan_selectors({"p": "p.x", "q": "div.x a", "r": ".x > b"})
+    began = time.perf_counter()
+    find_elements(piece * 40_000, plan)
+    assert time.perf_counter() - began < 5
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text("<>![]/-=\"' adivp&#;x\nCDATA?", max_size=80)))
 def test_no_page_breaks_the_matcher(html):
     find_elements(html, plan_selectors({"a": "div > a", "b": "[x] b"}))
 
