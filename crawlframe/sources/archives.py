@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.sources.warc_format import iter_records, payload_or_none, plain_bytes
+from crawlframe.sources.warc_format import DAMAGE, iter_records, payload_or_none, plain_bytes
 
 # Local paths lose their scheme, as the crawler stored them; others keep it.
 LOCAL_SCHEME = "^file:(//)?(?=/)"
@@ -30,6 +30,16 @@ _RECORD_TYPE = pa.struct(
         ("block", pa.binary()),
     ]
 )
+_PARSED = pa.schema(
+    [
+        ("path", pa.string()),
+        ("records", pa.list_(_RECORD_TYPE)),
+        ("error", pa.string()),
+        ("sha512", pa.string()),
+    ]
+)
+# Parsed archives go back to Spark once their blocks reach this size.
+_OUTPUT_BYTES = 16 * 1024**2
 
 
 def hash_folders(spark: SparkSession, root: str, digits: int = 3) -> DataFrame:
@@ -146,36 +156,36 @@ def with_records(
             block = bytes(body)
             return payload_or_none(block) if http_payload and kind == "response" else block
 
+        def parsed(name: str, stored: bytes) -> dict:
+            records, error = [], None
+            try:
+                data = plain_bytes(stored)
+                view = memoryview(data)
+                for at, headers, start, length in iter_records(data):
+                    records.append(
+                        {
+                            "position": at,
+                            "warc_record_id": headers.get("warc-record-id"),
+                            "warc_type": headers.get("warc-type"),
+                            "content_type": headers.get("content-type"),
+                            "warc_target_uri": headers.get("warc-target-uri"),
+                            "block": block_of(headers, view[start : start + length]),
+                        }
+                    )
+            except DAMAGE as problem:
+                error = str(problem)
+            digest = hashlib.sha512(stored).hexdigest()
+            return {"path": name, "records": records, "error": error, "sha512": digest}
+
         for batch in batches:
+            rows, kept = [], 0
             for name, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                records, error = [], None
-                stored = blob.as_py() or b""
-                try:
-                    data = plain_bytes(stored)
-                    view = memoryview(data)
-                    for at, headers, start, length in iter_records(data):
-                        records.append(
-                            {
-                                "position": at,
-                                "warc_record_id": headers.get("warc-record-id"),
-                                "warc_type": headers.get("warc-type"),
-                                "content_type": headers.get("content-type"),
-                                "warc_target_uri": headers.get("warc-target-uri"),
-                                "block": block_of(headers, view[start : start + length]),
-                            }
-                        )
-                except (ValueError, OSError, EOFError) as problem:
-                    error = str(problem)
-                # One output batch per file keeps a worker's memory at one archive.
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name], pa.string()),
-                        pa.array([records], pa.list_(_RECORD_TYPE)),
-                        pa.array([error], pa.string()),
-                        pa.array([hashlib.sha512(stored).hexdigest()], pa.string()),
-                    ],
-                    names=["path", "records", "error", "sha512"],
-                )
+                rows.append(parsed(name, blob.as_py() or b""))
+                kept += sum(len(record["block"] or b"") for record in rows[-1]["records"])
+                if kept > _OUTPUT_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
+                    rows, kept = [], 0
+            yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
 
     return files.select(path, content).mapInArrow(
         parse,

@@ -56,9 +56,10 @@ def parse_message_id(messages: DataFrame) -> DataFrame:
     Surrounding whitespace and a sign are fine; anything else, also a number
     beyond 64 bits, is not an id.
     """
-    text = strip(F.col("value").cast("string"))
-    number = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text).try_cast("long")
-    return messages.withColumn("submission_id", number)
+    text, decimal = F.col("value").cast("string"), r"\A[+-]?[0-9]+\z"
+    # Almost every message is a bare number; only the others are stripped.
+    number = F.when(text.rlike(decimal), text).when(strip(text).rlike(decimal), strip(text))
+    return messages.withColumn("submission_id", number.try_cast("long"))
 
 
 def split_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

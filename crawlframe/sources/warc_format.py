@@ -8,6 +8,9 @@ from collections.abc import Iterator
 
 from crawlframe.sources.shipping import ship
 
+# What damaged bytes can raise here.
+DAMAGE = (ValueError, OSError, EOFError, zlib.error)
+
 
 def plain_bytes(content: bytes) -> bytes:
     """The archive itself; gzip members are unpacked and joined."""
@@ -66,7 +69,7 @@ def response_payload(block: bytes) -> bytes:
 def payload_or_none(block: bytes) -> bytes | None:
     try:
         return response_payload(block)
-    except (ValueError, OSError, EOFError, zlib.error):
+    except DAMAGE:
         return None
 
 

@@ -54,15 +54,18 @@ def test_plain_and_gzip_archives_read_alike(spark):
 
 def test_damaged_archives_keep_what_can_be_read(spark):
     plain = archive(b"<p>hi")
+    packed = gzip.compress(plain)
+    flipped = packed[:12] + bytes(255 - b for b in packed[12:40]) + packed[40:]
     parsed = A.with_records(
         files(spark, cut=plain[:-20], junk=b"not a warc", empty=b"", tail=INFO + b"junk",
-              badgzip=b"\x1f\x8bxx")
+              badgzip=b"\x1f\x8bxx", flipped=flipped)
     )
     rows = {r.path: (len(r.records), r.error) for r in parsed.collect()}
     assert rows["cut"][0] == 2 and "cut off" in rows["cut"][1]
     assert rows["junk"][0] == 0 and "byte 0" in rows["junk"][1]
     assert rows["empty"] == (0, None)
     assert rows["tail"][0] == 1 and rows["tail"][1] is not None
+    assert rows["flipped"][0] == 0 and rows["flipped"][1] is not None
     assert rows["badgzip"][0] == 0 and rows["badgzip"][1] is not None
     assert A.warc_records(parsed).count() == 3
 
