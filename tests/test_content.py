@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlframe.operators import content as C
 from crawlframe.plans.discovery import webpage_rows
+from crawlframe.plans.storage import content_rows
 from crawlframe.sources import blobs
 
 START = datetime(2024, 1, 1)
@@ -60,6 +61,19 @@ def test_webpage_rows_are_repeatable(spark):
     assert first == webpage_rows(pages.repartition(3), now).orderBy("submission_id").collect()
 
 
+def test_content_rows_from_file_names(spark):
+    files = spark.createDataFrame(
+        [("/a/abc/fascrape_content_cid-1_aid-11.tar.xz", bytearray(b"xy")),
+         ("file:/a/fascrape_content_sid-5_aid-12.warc", bytearray(b"")),
+         ("/a/readme.txt", bytearray(b"z"))],
+        "path string, content binary",
+    )
+    rows = {r.attempt_id: r for r in content_rows(files).collect()}
+    assert set(rows) == {11, 12} and rows[11].content_id == 1
+    assert rows[11].content_sha512 == hashlib.sha512(b"xy").hexdigest()
+    assert rows[12].content_length == 0 and rows[12].content_binary is None
+
+
 def blob_table(spark):
     return spark.createDataFrame(
         [(1, 11, "abc1", bytearray(b"xx")), (2, 22, "abc2", bytearray(b"")), (3, 33, "def3", None),

@@ -13,6 +13,8 @@ from crawlframe.functions.content import (
 )
 from crawlframe.functions.urls import blob_path, parse_archive_path
 from crawlframe.operators import content as C
+from crawlframe.plans.discovery import webpage_rows
+from crawlframe.plans.storage import content_rows
 from crawlframe.session import scratch_path
 from crawlframe.sources import archives, blobs
 from workload import frames
@@ -274,6 +276,42 @@ def changes(spark, d):
     )
 
 
+@query(
+    "content_rows",
+    with_tables(
+        """
+        SELECT content_id, attempt_id, content_length, content_sha512 FROM content
+        WHERE payload <> ''""",
+        "content",
+    ),
+)
+def stored_files(spark, d):
+    """Content rows made from the stored files alone."""
+    rows = frames.contents(spark, d)
+    files = blobs.export_plan(rows).select(
+        F.col("file").alias("path"), F.col("content_binary").alias("content")
+    )
+    return content_rows(files, bits=256).drop("content_binary")
+
+
+@query(
+    "webpage_rows",
+    """
+    SELECT doc_id AS submission_id,
+           CASE WHEN doc_id % 50 = 2 THEN 'unicode_decode_error' ELSE 'decoded_ok' END
+             AS encoding_status,
+           CASE WHEN doc_id % 50 = 2 THEN sha256(encode(text) || '\\xFF'::BLOB)
+                ELSE sha256(text) END AS restored
+    FROM documents""",
+)
+def webpages(spark, d):
+    """Page rows as they are stored, and the digest of what their archives give back."""
+    pages = frames.page_bytes(spark, d).withColumnRenamed("doc_id", "submission_id")
+    rows = webpage_rows(pages, F.lit("2025-01-01").cast("timestamp_ntz"))
+    restored = digest(C.decompress_page(F.col("raw_compressed_webpage_data")), 256)
+    return rows.select("submission_id", "encoding_status", restored.alias("restored"))
+
+
 CODEC_SUMS = "SELECT source, count(*) AS n FROM documents GROUP BY source"
 
 
