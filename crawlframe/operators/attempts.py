@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlframe.operators.ordered import previous_row, slot_columns
+from crawlframe.operators.ordered import SLOT, previous_row, with_slots
 from crawlframe.schemas import SITE_ID
 
 
@@ -93,13 +93,12 @@ def worker_throughput(attempts: DataFrame, width: str = "1 hour") -> DataFrame:
 def worker_sessions(
     attempts: DataFrame,
     idle_seconds: int = 1800,
-    bucket_seconds: int = 86_400,
     rows_per_slot: int = 500_000,
 ) -> DataFrame:
     """Runs of attempts of a worker with no pause longer than ``idle_seconds``.
 
-    ``claimed_by, session_start, session_end, n_attempts``.  A busy worker is
-    cut into time slots.  Sessions inside a slot are final at once; only
+    ``claimed_by, session_start, session_end, n_attempts``.  A worker with more
+    than ``rows_per_slot`` attempts is cut into time slots.  Sessions inside a slot are final at once; only
     pieces that touch a slot's start or end, at most two per slot, are put
     together across slots.
     """
@@ -107,16 +106,14 @@ def worker_sessions(
     order = ["date_visited", "scrape_attempt_id"]
     micros = F.unix_micros(F.col("date_visited").cast("timestamp"))
     rows = attempts.select(worker, *order, micros.alias("_t"))
+    rows = with_slots(rows, [worker], F.col("_t"), rows_per_slot)
     newest = F.struct(F.max("_t").alias("_t"))
-    walked = previous_row(
-        rows, [worker], order, F.col("_t"), bucket_seconds * second, ["_t"], "_prev",
-        rows_per_slot, newest,
-    )
+    walked = previous_row(rows, [worker], order, ["_t"], "_prev", newest)
     pause = F.col("_t") - F.col("_prev._t")
     starts = F.col("_prev").isNull() | (pause > idle_seconds * second)
     walked = walked.withColumn("_starts", starts.cast("int"))
 
-    slot = slot_columns([worker])
+    slot = [worker, *SLOT]
     pieces = (
         walked.withColumn("_no", F.sum("_starts").over(Window.partitionBy(*slot).orderBy(*order)))
         .groupBy(*slot, "_no")
@@ -131,8 +128,8 @@ def worker_sessions(
     # A piece that starts in its slot and is followed there by another is whole
     # and gets a lane to itself; the others of a worker share lane 0.
     whole = (F.col("_starts") == 1) & (F.col("_no") < F.col("_last_no"))
-    lane = F.when(whole, F.xxhash64("_bucket", "_slot", "_no")).otherwise(0)
-    along = Window.partitionBy(worker, "_lane").orderBy("_bucket", "_slot", "_no")
+    lane = F.when(whole, F.xxhash64(*SLOT, "_no")).otherwise(0)
+    along = Window.partitionBy(worker, "_lane").orderBy(*SLOT, "_no")
     return (
         pieces.withColumn("_lane", lane)
         .withColumn("_session", F.sum("_starts").over(along))

@@ -14,7 +14,7 @@ from crawlframe.functions.codecs import (
     train_dictionary,
 )
 from crawlframe.functions.content import digest, human_size, payload_state, size_in_bytes
-from crawlframe.operators.ordered import previous_row
+from crawlframe.operators.ordered import previous_row, with_slots
 
 
 def payload_batch(content: DataFrame) -> DataFrame:
@@ -98,15 +98,12 @@ def page_changes(
     sha: str = "original_data_sha512",
     visited: str = "date_visited",
     key: str = "submission_webpage_id",
-    bucket_seconds: int = 86_400,
     rows_per_slot: int = 500_000,
 ) -> DataFrame:
     """Each visit with ``change``: ``first``, ``changed`` or ``unchanged``."""
     at = F.unix_micros(F.col(visited).cast("timestamp"))
-    rows = visits.select(page, visited, key, sha)
-    walked = previous_row(
-        rows, [page], [visited, key], at, bucket_seconds * 1_000_000, [sha], "_prev", rows_per_slot
-    )
+    rows = with_slots(visits.select(page, visited, key, sha), [page], at, rows_per_slot)
+    walked = previous_row(rows, [page], [visited, key], [sha], "_prev")
     change = (
         F.when(F.col("_prev").isNull(), "first")
         .when(F.col(f"_prev.{sha}") == F.col(sha), "unchanged")

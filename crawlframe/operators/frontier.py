@@ -91,8 +91,12 @@ def missing_ranges(
         edge = ids.sparkSession.createDataFrame([(guard,) for guard in guards], "id long")
         present = present.unionByName(edge)
     largest = F.struct(F.max("id").alias("id"))
-    walked = previous_row(
-        present.distinct(), [], ["id"], F.col("id"), bucket_width, ["id"], "before", None, largest
+    bucketed = (
+        present.distinct()
+        .withColumn("_part", F.col("id") - F.pmod("id", F.lit(bucket_width)))
+        .withColumn("_slot", F.lit(0).cast("long"))
+        .withColumn("_split", F.lit(True))
     )
+    walked = previous_row(bucketed, [], ["id"], ["id"], "before", largest)
     gap = walked.select((F.col("before.id") + 1).alias("lo"), (F.col("id") - 1).alias("hi"))
     return gap.filter("lo <= hi").withColumn("n", F.col("hi") - F.col("lo") + 1)

@@ -5,72 +5,79 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLOT = ["_part", "_slot"]
+# A key or part with too many rows is cut at this many quantiles.
+CUTS = [place / 32 for place in range(1, 32)]
 
-def slot_columns(keys: list[str]) -> list[str]:
-    return [*keys, "_bucket", "_slot"]
 
-
-def with_slots(
-    df: DataFrame, keys: list[str], at: Column, width: int, rows_per_slot: int | None
+def _cut(
+    rows: DataFrame, counted: DataFrame, group: list[str], rows_per_slot: int, out: str
 ) -> DataFrame:
-    """Add ``_bucket, _slot``: pieces of a key's history that follow each other in ``at``.
+    """Number the quantile spans of ``_at`` within groups that have too many rows, 0 elsewhere.
 
-    A bucket spans ``width`` units of the number ``at``.  A bucket with more
-    than ``rows_per_slot`` rows is cut further into equal spans.  The table of
-    such buckets has at most (rows / ``rows_per_slot``) rows, which is what
-    makes it safe to broadcast.  ``None`` leaves buckets whole, for ``at``
-    values known to be distinct.
+    Groups are looked for in ``counted``, a part of ``rows``.  There are at
+    most (rows / ``rows_per_slot``) of them, each with 31 numbers, which is what
+    makes the table of their cuts safe to broadcast.  Without such groups
+    adaptive execution drops everything but the count.
     """
-    rows = df.withColumn("_at", at).withColumn(
-        "_bucket", F.col("_at") - F.pmod("_at", F.lit(width))
-    )
-    if rows_per_slot is None:
-        return rows.withColumn("_slot", F.lit(0).cast("long"))
-    bucket = [*keys, "_bucket"]
     crowded = (
-        rows.groupBy(*bucket)
-        .agg(F.count("*").alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+        counted.groupBy(*group)
+        .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > rows_per_slot)
-        .withColumn("_slots", F.ceil(F.col("_n") / F.lit(rows_per_slot)))
+        .select(*group)
     )
-    share = (F.col("_at") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    slot = F.floor(share * F.col("_slots")).cast("long")
+    cuts = (
+        counted.join(F.broadcast(crowded), group, "left_semi")
+        .groupBy(*group)
+        .agg(F.percentile_approx("_at", CUTS, 1000).alias("_cuts"))
+    )
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_at"))).cast("long")
     return (
-        rows.join(F.broadcast(crowded), bucket, "left")
-        .withColumn("_slot", F.coalesce(slot, F.lit(0).cast("long")))
-        .drop("_n", "_lo", "_hi", "_slots")
+        rows.join(F.broadcast(cuts), group, "left")
+        .withColumn(out, F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0).cast("long")))
+        .withColumn("_cut", F.col("_cuts").isNotNull())
+        .drop("_cuts")
     )
 
 
+def with_slots(df: DataFrame, keys: list[str], at: Column, rows_per_slot: int) -> DataFrame:
+    """Add ``_part, _slot``: pieces of a key's history that follow each other in ``at``.
+
+    Keys of up to ``rows_per_slot`` rows stay whole.  Larger ones are cut into
+    parts of about equally many rows, and parts that are still too large once
+    more: 1,024 slots at most.  ``_split`` tells whether a row's key was cut.
+    Rows with one and the same ``at`` stay together.
+    """
+    rows = df.withColumn("_at", at)
+    parts = _cut(rows, rows, keys, rows_per_slot, "_part").withColumnRenamed("_cut", "_split")
+    slots = _cut(parts, parts.filter("_split"), [*keys, "_part"], rows_per_slot, "_slot")
+    return slots.drop("_at", "_cut")
+
+
 def previous_row(
-    df: DataFrame,
+    rows: DataFrame,
     keys: list[str],
     order: list[str],
-    at: Column,
-    width: int,
     carry: list[str],
     out: str,
-    rows_per_slot: int | None = 500_000,
     last: Column | None = None,
 ) -> DataFrame:
     """Add ``out``: struct of ``carry`` of the row before, per ``keys`` in ``order``.
 
-    ``at`` is a long that never decreases along ``order``; keys are not null.  Rows are sorted
-    within a slot (see :func:`with_slots`) only, so a key that holds a third of
-    the table is spread over many tasks; the last row of each slot is then
-    handed to the first row of the next one through a table with one row per
-    slot.  ``out`` is null on the first row of a key.  The slot columns stay,
-    so that a caller can go on in the same partitioning.  ``last`` may give a
-    cheaper aggregate for the ``carry`` struct of a slot's last row.
+    ``rows`` has the slot columns of :func:`with_slots`.  Rows are sorted
+    within a slot only, so a key that holds a third of the table is spread over
+    many tasks.  The last row of each slot of a key that was cut is then handed
+    to the first row of the next slot, through a table with one row per slot.
+    ``out`` is null on the first row of a key; keys are not null.  The slot
+    columns stay, so that a caller can go on in the same partitioning.
+    ``last`` may give a cheaper aggregate for the ``carry`` of a slot's last row.
     """
-    rows = with_slots(df, keys, at, width, rows_per_slot)
-    slots = slot_columns(keys)
+    slots = [*keys, *SLOT]
     carried = F.struct(*carry)
-
     if last is None:
         last = F.max_by(carried, F.struct(*order))
-    across = Window.partitionBy(*keys).orderBy("_bucket", "_slot")
-    ends = rows.groupBy(*slots).agg(last.alias("_last"))
+    ends = rows.filter("_split").groupBy(*slots).agg(last.alias("_last"))
+    across = Window.partitionBy(*keys).orderBy(*SLOT)
     edges = ends.select(*slots, F.lag("_last").over(across).alias("_before"))
 
     inside = Window.partitionBy(*slots).orderBy(*order)
@@ -78,5 +85,5 @@ def previous_row(
     return (
         walked.join(edges, slots, "left")
         .withColumn(out, F.coalesce(out, "_before"))
-        .drop("_before", "_at")
+        .drop("_before", "_split")
     )

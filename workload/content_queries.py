@@ -267,7 +267,7 @@ def duplicates(spark, d):
     FROM w""",
 )
 def changes(spark, d):
-    rows = C.page_changes(frames.visits(spark, d), bucket_seconds=300, rows_per_slot=1000)
+    rows = C.page_changes(frames.visits(spark, d))
     return rows.select(
         "submission_id",
         "submission_webpage_id",
