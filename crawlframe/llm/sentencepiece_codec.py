@@ -36,7 +36,7 @@ MARK = "▁"
 #: Fixed values of the model format: kinds of model and of piece.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KEPT_WORDS, KEPT_CHARS = 250_000, 48
+KEPT_WORDS, KEPT_CHARS, TOGETHER = 400_000, 48, 2000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -148,6 +148,7 @@ class PieceCodec:
         steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence(steps + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
         self.kept: dict[str, bytes] = {}
+        self.begins = np.array([piece.startswith(MARK) for piece in model.pieces])
         spelled = zip(model.pieces, model.types)
         self.spelling = [bytes([int(piece[1:-1], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() for piece, kind in spelled]
 
@@ -162,10 +163,26 @@ class PieceCodec:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, many encoded together: a piece that begins with the marker begins a word."""
+        alone = [word for word in words if not (word[0] == MARK and word[1:2] not in ("", MARK))]
+        found = dict(zip(alone, self.raw(alone)))
+        marked = [word for word in words if word not in found]
+        parts = [marked[at : at + TOGETHER] for at in range(0, len(marked), TOGETHER)]
+        for part, one in zip(parts, self.tokenizer.encode_batch_fast(list(map("".join, parts)), add_special_tokens=False)):
+            ids = np.array(one.ids, "<u4")
+            starts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+            if len(starts) == len(part):
+                data = ids.tobytes()
+                found.update((word, data[a:b]) for word, a, b in zip(part, starts, [*starts[1:], len(data)]))
+            else:
+                found.update(zip(part, self.raw(part)))
+        return [found[word] for word in words]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, four bytes each."""
         out: list[bytes] = []
-        for a, b in slices([len(text or "") for text in texts], 1_000_000):
+        for a, b in slices([len(text or "") for text in texts], 2_000_000):
             normal = [self.normalise(text or "") for text in texts[a:b]]
             if not self.by_word:
                 out.extend(self.raw(normal))
@@ -175,7 +192,7 @@ class PieceCodec:
             missing = list(distinct.difference(self.kept))
             if len(self.kept) + len(missing) > KEPT_WORDS:
                 self.kept, missing = {}, list(distinct)
-            self.kept.update(zip(missing, self.raw(missing)))
+            self.kept.update(zip(missing, self.of_words(missing)))
             out.extend(b"".join(map(self.kept.__getitem__, some)) for some in words)
             for word in distinct:
                 if len(word) > KEPT_CHARS:

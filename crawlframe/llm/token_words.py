@@ -1,12 +1,16 @@
 """Encoding of whole texts with a tokenizers vocabulary, word by word.
 
 Where a vocabulary never looks across a blank, every blank-separated word has
-its own ids.  Words come again and again, so their ids are kept in a bounded
-dictionary for the life of a worker and only unseen words reach the library.
+its own ids.  A word of letters with punctuation after it is split further,
+as the vocabulary's own pre-tokenizer does.  Unseen words reach the library
+many at a time, joined by blanks: the last token of each is known by its
+end-of-word mark.  Ids of words are kept for the life of a worker, in
+dictionaries of a fixed size.
 """
 
 from __future__ import annotations
 
+import string
 from functools import lru_cache
 from itertools import chain
 
@@ -15,9 +19,10 @@ from tokenizers import Tokenizer
 
 from crawlframe.llm.batches import slices
 
-#: Words kept per worker, and the longest word worth keeping.
-KEPT_WORDS, KEPT_CHARS = 250_000, 48
-BLANKS = str.maketrans("\n\t\r", "   ")
+#: Words kept per worker, the longest word worth keeping, and words in one call of the library.
+KEPT_WORDS, KEPT_CHARS, TOGETHER = 600_000, 48, 2000
+MARKS = string.punctuation
+END_OF_WORD = "</w>"
 
 
 class WordEncoder:
@@ -25,31 +30,60 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {"": b""}
-
-    def learn(self, words: set[str]) -> None:
-        """Have the ids of all these words at hand."""
-        missing = list(words.difference(self.kept))
-        if not missing:
-            return
-        if len(self.kept) + len(missing) > KEPT_WORDS:
-            self.kept = {"": b""}
-            missing = [word for word in words if word]
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.kept.update((word, np.array(one.ids, "<u4").tobytes()) for word, one in zip(missing, found))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[key for token, key in vocabulary.items() if token.endswith(END_OF_WORD)]] = True
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def raw(self, words: list[str]) -> list[bytes]:
+        """Ids of each word by itself."""
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+    def of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that consist of letters, encoded together."""
+        out: list[bytes] = []
+        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, one in zip(parts, joined):
+            ids = np.array(one.ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(part):
+                data = ids.tobytes()
+                out.extend(data[a:b] for a, b in zip([0, *stops], stops))
+            else:  # a word became several in normalisation
+                out.extend(self.raw(part))
+        return out
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of all these words."""
+        cores = {word: core.lower() for word in words if (core := word.rstrip(MARKS)).isalpha() and "Σ" not in core}
+        wanted = set(cores.values())
+        missing = list(wanted.difference(self.letters))
+        if len(self.letters) + len(missing) > KEPT_WORDS:
+            self.letters, missing = {}, list(wanted)
+        self.letters.update(zip(missing, self.of_letters(missing)))
+        letters, marks = self.letters, self.marks
+        tails = {word[len(core) :] for word, core in cores.items()}.difference(marks)
+        marks.update(zip(tails, self.raw(list(tails))))
+        found = {word: letters[core] + marks[word[len(core) :]] for word, core in cores.items()}
+        whole = list(words.difference(cores))
+        found.update(zip(whole, self.raw(whole)))
+        for core in wanted:
+            if len(core) > KEPT_CHARS:
+                letters.pop(core, None)
+        if len(marks) > 1000:
+            self.marks = {"": b""}
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = []
-        for a, b in slices([len(text or "") for text in texts], 1_000_000):
-            words = [(text or "").translate(BLANKS).split(" ") for text in texts[a:b]]
-            distinct = set(chain.from_iterable(words))
-            self.learn(distinct)
-            ids = self.kept.__getitem__
+        for a, b in slices([len(text or "") for text in texts], 4_000_000):
+            words = [(text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts[a:b]]
+            ids = self.learn(set(chain.from_iterable(words))).__getitem__
             out.extend(b"".join(map(ids, some)) for some in words)
-            for word in distinct:
-                if len(word) > KEPT_CHARS:
-                    self.kept.pop(word, None)
         return out
 
 
