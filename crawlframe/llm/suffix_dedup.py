@@ -347,7 +347,7 @@ def with_removals(docs: DataFrame, schema: str, finish: Callable) -> DataFrame:
     spark = on_workers(docs.sparkSession)
     owners = partitions(spark)
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    shards = max(4 * owners, size // SHARD_BYTES + 1)
+    shards = max(owners, size // SHARD_BYTES + 1)
     drop_bits = max(0, 64 - (int(size).bit_length() + 10))
     table = bucketed(docs, shards)
     texts = table.select("__shard", "doc_id", "text")
