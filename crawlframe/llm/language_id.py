@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from crawlframe.llm.batches import mapped, only
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Longest n-gram, words longer than this are cut into pieces of it, cached words per worker.
-LONGEST, LONG_WORD, CACHED = 5, 40, 200_000
+LONGEST, LONG_WORD, CACHED = 5, 40, 500_000
 UNKNOWN = "und"
 
 
@@ -44,50 +44,51 @@ def word_list(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+class WordRows(dict):
+    """Number of the row of a table that holds a word's scores; a new word fills the next row."""
+
+    def __init__(self, model: LanguageModel):
+        super().__init__()
+        self.model = model
+        self.table = np.zeros((CACHED, len(model.languages)))
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        known = self.model.words.get(word)
+        self.table[row] = self.model.logs[known] if known is not None else self.model.back_off(word)
+        return row
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies per language; ``words`` and ``parts`` give row numbers of ``logs``."""
 
     languages: list[str]
-    prior: np.ndarray
+    prior: list[float]
     words: dict[str, int]
     parts: list[dict[str, int]]
-    logs: np.ndarray
-    rows: dict[str, int] = field(default_factory=dict)
-    table: np.ndarray | None = None
-    filled: int = 0
+    logs: list[tuple[float, ...]]
+    rows: WordRows | None = None
 
-    def back_off(self, word: str) -> np.ndarray:
+    def back_off(self, word: str) -> list[float]:
         """Scores of a word that is not in ``words``."""
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
             known = [row for row in map(self.parts[n].get, grams(word, n)) if row is not None]
             if known:
-                return self.logs[known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def row(self, word: str) -> int:
-        """Number of the row of ``table`` that holds the word's scores."""
-        found = self.rows.get(word)
-        if found is None:
-            known = self.words.get(word)
-            scores = self.logs[known] if known is not None else self.back_off(word)
-            found = self.rows[word] = self.filled
-            self.table[found] = scores
-            self.filled += 1
-        return found
+                return [sum(column) / len(known) for column in zip(*map(self.logs.__getitem__, known))]
+        return [0.0] * len(self.languages)
 
     def scores(self, text: str | None) -> tuple[str, float]:
         words = word_list(text) if text else []
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        if self.table is None:
-            self.table = np.zeros((CACHED, len(self.languages)))
-        total = self.prior.copy()
+        total = np.array(self.prior)
         for at in range(0, len(words), CACHED // 2):
             some = words[at : at + CACHED // 2]
-            if self.filled + len(some) > CACHED:
-                self.rows, self.filled = {}, 0
-            total += self.table[list(map(self.row, some))].sum(axis=0)
+            if self.rows is None or len(self.rows) + len(some) > CACHED:
+                self.rows = WordRows(self)
+            numbers = list(map(self.rows.__getitem__, some))
+            total += self.rows.table[numbers].sum(axis=0)
         chance = np.exp(total - total.max())
         best = int(total.argmax())
         return self.languages[best], float(chance[best] / chance.sum())
@@ -102,7 +103,7 @@ def labelled_sample(docs: DataFrame, max_rows: int) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, *, max_rows: int = 8000, min_count: int = 3, max_words: int = 30_000, max_grams: int = 60_000
+    docs: DataFrame, *, max_rows: int = 4000, min_count: int = 3, max_words: int = 30_000, max_grams: int = 60_000
 ) -> LanguageModel:
     """Learn from ``docs`` (doc_id, text, lang).
 
@@ -164,7 +165,8 @@ def fit(terms: list, shares: dict[str, int]) -> LanguageModel:
         mine = counts[kinds == kind] + 0.1
         logs[kinds == kind] = np.log(mine / mine.sum(axis=0))
     prior = np.array([shares[lang] for lang in languages], float)
-    return LanguageModel(languages, np.log(prior / max(prior.sum(), 1)), words, parts, logs)
+    shares_of = np.log(prior / max(prior.sum(), 1)).tolist()
+    return LanguageModel(languages, shares_of, words, parts, list(map(tuple, logs.tolist())))
 
 
 def predict(docs: DataFrame, model: LanguageModel, *keys: str) -> DataFrame:
@@ -187,6 +189,6 @@ def predict(docs: DataFrame, model: LanguageModel, *keys: str) -> DataFrame:
 
 def accepted(docs: DataFrame, model: LanguageModel, *, min_score: float = 0.5) -> DataFrame:
     """Documents in a recognised language, with all their columns and no new one."""
-    columns = docs.columns
-    known = predict(docs, model, *columns).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return known.select(*columns)
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "text")
+    known = predict(rows, model, "row").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return known.select("row.*")

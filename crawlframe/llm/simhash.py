@@ -141,8 +141,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 3) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, width: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest doc_id (of equal ids any one)."""
+    """One document of each group of near-duplicates: that of the smallest doc_id.
+
+    Rows that share doc_id and text are one.  Rows without an id stay if one of
+    them has no near-duplicate with an id.
+    """
     groups = near_duplicates(docs, width=width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = groups.select("doc_id").distinct()
     rows = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(*docs.columns)
+    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns)

@@ -58,7 +58,7 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of all these words."""
-        cores = {word: core.lower() for word in words if (core := word.rstrip(MARKS)).isalpha() and "Σ" not in core}
+        cores = {word: core for word in words if (core := word.rstrip(MARKS).lower()).isalpha() and "Σ" not in word}
         wanted = set(cores.values())
         missing = list(wanted.difference(self.letters))
         if len(self.letters) + len(missing) > KEPT_WORDS:

@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_ter
     ones = sum(row["count"] for row in totals if row["toxic"] == 1)
     every = sum(row["count"] for row in totals)
     if not ones or ones == every:
-        return fit([], [1] * bool(ones), [])
+        return fit([], [int(bool(ones))] * bool(every), [])
     seen = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
         F.count("*").alias("docs"), F.sum("toxic").alias("hits")
     )
