@@ -17,12 +17,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def warcinfo_entries(text: Column, trim_values: bool = True) -> Column:
+def warcinfo_entries(text: Column, trim_values: bool = False) -> Column:
     """``array<struct<key,value>>`` of a header block, in order of first mention of a key.
 
     Lines end at ``\\n`` and are stripped; reading stops at the first blank
     line; lines without a colon are skipped; the value starts right after the
-    first colon (``trim_values=False`` keeps its leading space); the last of
+    first colon, its leading space included (``trim_values`` strips it); the last of
     several equal keys wins.
     """
 
@@ -48,7 +48,7 @@ def warcinfo_entries(text: Column, trim_values: bool = True) -> Column:
     return _let(F.transform(usable, entry), last_per_key)
 
 
-def warcinfo_map(text: Column, trim_values: bool = True) -> Column:
+def warcinfo_map(text: Column, trim_values: bool = False) -> Column:
     return F.map_from_entries(warcinfo_entries(text, trim_values))
 
 

@@ -170,7 +170,10 @@ def claim_submissions(incoming: DataFrame, submissions: DataFrame, id_column: st
     wanted = incoming.select(F.col(id_column).cast("long").alias("id")).filter(
         F.col("id").isNotNull()
     )
-    known = submissions.groupBy(F.col(SITE_ID).alias("id")).agg(
+    theirs = submissions.join(
+        wanted.select(F.col("id").alias(SITE_ID)).distinct(), SITE_ID, "left_semi"
+    )
+    known = theirs.groupBy(F.col(SITE_ID).alias("id")).agg(
         F.count("*").alias("_rows"), F.max("processed_status").alias("_status")
     )
     action = (
@@ -187,7 +190,7 @@ def apply_claims(
 ) -> DataFrame:
     """Snapshot after the claims: reused rows re-dated, new rows added as ``todo``.
 
-    A new row's key is a hash of its id, the same whenever the job is run again.
+    A new row's key is its id, the same whenever the job is run again.
     """
     reused = claims.filter(F.col("action") == "reuse").select(
         F.col("id").alias(SITE_ID), F.lit(True).alias("_reuse")
@@ -200,7 +203,7 @@ def apply_claims(
         .select(*columns)
     )
     added = claims.filter(F.col("action") == "new").select(
-        F.xxhash64("id").alias("submission_id"),
+        F.col("id").alias("submission_id"),
         F.col("id").alias(SITE_ID),
         visited_at.alias("date_visited"),
         F.lit("unknown").alias("submission_status"),
@@ -208,3 +211,33 @@ def apply_claims(
         worker.alias("claimed_by"),
     )
     return kept.unionByName(added.select(*columns))
+
+
+def finish_submissions(
+    submissions: DataFrame, observed: DataFrame, visited_at: Column
+) -> DataFrame:
+    """Snapshot after the visits: rows of visited ids get their state and are ``finished``.
+
+    ``observed`` has ``site_submission_id`` and ``submission_status`` (the state
+    that the page was classified as).  A visit without a state (null) leaves
+    its row as it is, so the id is claimed again; of several visits of an id
+    the state that sorts last counts.  Rows that are finished stay as they are.
+    """
+    states = (
+        observed.filter(F.col("submission_status").isNotNull())
+        .groupBy(SITE_ID)
+        .agg(F.max("submission_status").alias("_state"))
+    )
+    open_row = ~F.col("processed_status").eqNullSafe("finished") & F.col("_state").isNotNull()
+
+    def finished(value: Column, column: str) -> Column:
+        return F.when(open_row, value).otherwise(F.col(column)).alias(column)
+
+    new = {
+        "submission_status": F.col("_state"),
+        "processed_status": F.lit("finished"),
+        "date_visited": visited_at,
+    }
+    return submissions.join(states, SITE_ID, "left").select(
+        *[finished(new[name], name) if name in new else F.col(name) for name in submissions.columns]
+    )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlframe.operators.ordered import previous_row
 from crawlframe.schemas import SITE_ID
 
 
@@ -46,7 +47,9 @@ def fill_ranges(ranges: DataFrame, ids_per_slice: int = 1_000_000) -> DataFrame:
     slices = ranges.withColumn(
         "_at", F.explode(F.sequence("lo", "hi", F.lit(ids_per_slice).cast("long")))
     )
-    spread = slices.repartition("_at")
+    # a stated number of partitions: adaptive execution would merge the few slices into one task
+    tasks = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = slices.repartition(tasks, "_at")
     slice_end = F.least(F.col("_at") + F.lit(ids_per_slice - 1), F.col("hi"))
     return spread.select(F.explode(F.sequence("_at", slice_end)).alias("id"), "lo", "hi")
 
@@ -77,7 +80,9 @@ def missing_ranges(
 
     With ``lo`` and ``hi`` the gaps before the first and after the last id of
     that range count too.  Each bucket of ``bucket_width`` ids is ordered on
-    its own; what meets across buckets is one row per bucket.
+    its own and hands its first and last id on; so do buckets of buckets, up to
+    one that holds all.  With the default width at most 65,536 rows meet in a
+    task after the first level, however sparse the ids are.
     """
     present = ids.select(F.col(column).cast("long").alias("id")).filter(F.col("id").isNotNull())
     if lo is not None:
@@ -90,13 +95,16 @@ def missing_ranges(
     if guards:
         edge = ids.sparkSession.createDataFrame([(guard,) for guard in guards], "id long")
         present = present.unionByName(edge)
-    largest = F.struct(F.max("id").alias("id"))
-    bucketed = (
-        present.distinct()
-        .withColumn("_part", F.col("id") - F.pmod("id", F.lit(bucket_width)))
-        .withColumn("_slot", F.lit(0).cast("long"))
-        .withColumn("_split", F.lit(True))
-    )
-    walked = previous_row(bucketed, [], ["id"], ["id"], "before", largest)
-    gap = walked.select((F.col("before.id") + 1).alias("lo"), (F.col("id") - 1).alias("hi"))
+    level = present.select(F.col("id").alias("first"), F.col("id").alias("last"))
+    gaps = []
+    for width in [bucket_width, *(size for size in (1 << 32, 1 << 48) if size > bucket_width), None]:
+        bucket = F.lit(0) if width is None else F.expr(f"first div {width}")
+        level = level.withColumn("_part", bucket.cast("long"))
+        walk = Window.partitionBy("_part").orderBy("first")
+        before = level.withColumn("_before", F.lag("last").over(walk))
+        gaps.append(
+            before.select((F.col("_before") + 1).alias("lo"), (F.col("first") - 1).alias("hi"))
+        )
+        level = level.groupBy("_part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    gap = reduce(DataFrame.unionByName, gaps)
     return gap.filter("lo <= hi").withColumn("n", F.col("hi") - F.col("lo") + 1)

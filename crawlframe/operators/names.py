@@ -31,10 +31,11 @@ def lookup_unique(ids: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame
 
     ``found`` has each requested id with its only row, or nulls without one;
     ``violations`` has ``key, n_rows`` of requested ids with several rows.
-    The table is reduced to one row per id before it meets the ids.
+    The table's rows of other ids are left out before the rest is reduced to
+    one row per id.
     """
     others = [name for name in table.columns if name != key]
-    folded = table.groupBy(key).agg(
+    folded = table.join(_names(ids, key), key, "left_semi").groupBy(key).agg(
         F.count("*").alias("n_rows"), F.min(F.struct(*others)).alias("_row")
     )
     matched = _names(ids, key).join(folded, key, "left")

@@ -53,7 +53,7 @@ def main_response(records: DataFrame, profile: SiteProfile = SiteProfile()) -> D
     )
 
 
-def warcinfo_headers(blocks: DataFrame, key: str, text: str, trim_values: bool = True) -> DataFrame:
+def warcinfo_headers(blocks: DataFrame, key: str, text: str, trim_values: bool = False) -> DataFrame:
     """``key, header, value`` rows of ``warcinfo`` blocks."""
     entries = warcinfo_entries(F.col(text), trim_values)
     return blocks.select(key, F.inline(entries).alias("header", "value"))

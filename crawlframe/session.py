@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Keeps the state of streams on local disk (and in the checkpoint), not on the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "crawlframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are designed for.
 
@@ -22,6 +26,8 @@ def build_session(app: str = "crawlframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     settings.update({name.replace("__", "."): value for name, value in conf.items()})
     for name, value in settings.items():

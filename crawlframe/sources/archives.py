@@ -12,6 +12,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlframe.session import scratch_path
 from crawlframe.sources.warc_format import DAMAGE, iter_records, payload_or_none, plain_bytes
 
 # Local paths lose their scheme, as the crawler stored them; others keep it.
@@ -38,6 +39,8 @@ _PARSED = pa.schema(
         ("sha512", pa.string()),
     ]
 )
+# Files in one Arrow batch of a listing.
+_LISTED_ROWS = 10_000
 # Parsed archives go back to Spark once their blocks reach this size.
 _OUTPUT_BYTES = 16 * 1024**2
 
@@ -50,6 +53,47 @@ def hash_folders(spark: SparkSession, root: str, digits: int = 3) -> DataFrame:
     )
 
 
+def walk_tree(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
+    """``path, length, modified`` of every file below ``root``, whatever the layout and the names.
+
+    In rounds: tasks list the direct children of the folders that the round
+    before found, so deep and broad trees are shared out, and each round is
+    written to the scratch folder.  The driver sees only whether folders are left.
+    """
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                system, base = fs.FileSystem.from_uri(folder)
+                prefix = folder[: len(folder) - len(base)] if folder.endswith(base) else ""
+                found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
+                for at in range(0, len(found), _LISTED_ROWS):
+                    some = found[at : at + _LISTED_ROWS]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([prefix + info.path for info in some], pa.string()),
+                            pa.array([info.size for info in some], pa.int64()),
+                            pa.array([info.mtime for info in some], pa.timestamp("us", tz="UTC")),
+                            pa.array([info.is_file for info in some], pa.bool_()),
+                        ],
+                        names=["path", "length", "modified", "is_file"],
+                    )
+
+    schema = "path string, length long, modified timestamp, is_file boolean"
+    place, depth = scratch_path(spark, "tree"), 0
+    folders = spark.createDataFrame([(root.rstrip("/") or "/",)], "root string")
+    while True:
+        found = folders.repartition(tasks, "root").mapInArrow(children, schema)
+        found.write.parquet(f"{place}/depth={depth}")
+        below = spark.read.schema(schema).parquet(f"{place}/depth={depth}").filter("NOT is_file")
+        if below.isEmpty():
+            break
+        folders, depth = below.select(F.col("path").alias("root")), depth + 1
+    rows = spark.read.schema(f"{schema}, depth int").parquet(place)
+    return rows.filter("is_file").select("path", "length", "modified")
+
+
 def list_files(folders: DataFrame, root: str = "root") -> DataFrame:
     """``path, length, modified`` of all files below the folders, listed by the tasks.
 

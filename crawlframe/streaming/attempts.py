@@ -42,11 +42,12 @@ def stream_attempts(
     content_path: str,
     checkpoint: str,
     worker: Column,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Log an attempt per message; finish it where its content is in storage.
 
     ``contents`` has ``site_submission_id, content_length, content_sha512`` of what was
-    fetched, one row per id.  Attempts and content of a micro-batch are
+    fetched; of several rows of an id the one with the largest digest counts.  Attempts and content of a micro-batch are
     written before its input counts as read, so a crash repeats the batch,
     and the repeat overwrites it: no message is lost, no row doubled.
     """
@@ -57,6 +58,8 @@ def stream_attempts(
         good, _ = split_messages(batch)
         with held(attempt_rows(good, worker)) as (attempts, n_attempts):
             stored = only_keys(contents, attempts, SITE_ID, n_attempts)
+            newest = F.max(F.struct("content_sha512", "content_length")).alias("_c")
+            stored = stored.groupBy(SITE_ID).agg(newest).select(SITE_ID, "_c.*")
             worked = attempts.join(stored, SITE_ID, "left")
             content = worked.filter(done).select(
                 F.xxhash64("scrape_attempt_id", "content_sha512").alias("content_id"),
@@ -69,7 +72,7 @@ def stream_attempts(
             log = worked.withColumn("processed_status", status).select(*attempts.columns)
             write_batch(log, attempts_path, batch_id)
 
-    return run_batches(messages, each, checkpoint)
+    return run_batches(messages, each, checkpoint, available_now)
 
 
 def first_deliveries(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -84,29 +87,45 @@ def first_deliveries(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def stream_skip_finished(
-    messages: DataFrame, submissions: DataFrame, claims_path: str, checkpoint: str
+    messages: DataFrame,
+    submissions: DataFrame,
+    claims_path: str,
+    checkpoint: str,
+    finished_path: str | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Claim each micro-batch's ids: ``id, action`` without ``skip`` rows is the work to do.
 
-    Ids that an earlier micro-batch claimed are finished by the time a later
-    one runs, so repeats are skipped, however late they come.
+    Only an id that is finished is skipped: in ``submissions``, or by a row
+    (``id``) that the finish step wrote below ``finished_path``.  An id that an
+    earlier micro-batch claimed and nothing finished is claimed again as
+    ``reuse``, so work that failed is not lost.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_batches(batch.sparkSession, claims_path, "id long, action string", batch_id)
+        spark = batch.sparkSession
+        earlier = read_batches(spark, claims_path, "id long, action string", batch_id)
+        finished = read_batches(spark, finished_path or f"{claims_path}-none", "id long")
         good, _ = split_messages(batch)
         with held(good.select(F.col("submission_id").alias(SITE_ID)).distinct()) as (ids, n_ids):
-            done = only_keys(earlier.withColumnRenamed("id", SITE_ID), ids, SITE_ID, n_ids)
-            work = ids.join(done.select(SITE_ID), SITE_ID, "left_anti")
-            claims = claim_submissions(
-                work, only_keys(submissions, ids, SITE_ID, n_ids), SITE_ID
-            )
+            known = only_keys(submissions, ids, SITE_ID, n_ids).select(SITE_ID, "processed_status")
+            claimed = only_keys(earlier.withColumnRenamed("id", SITE_ID), ids, SITE_ID, n_ids)
+            done = only_keys(finished.withColumnRenamed("id", SITE_ID), ids, SITE_ID, n_ids)
+            done = done.select(SITE_ID, F.lit(True).alias("_done")).distinct()
+            added = claimed.select(SITE_ID).union(done.select(SITE_ID)).distinct()
+            added = added.join(known, SITE_ID, "left_anti")
+            known = known.unionByName(added.withColumn("processed_status", F.lit("todo")))
+            status = F.when(F.col("_done"), "finished").otherwise(F.col("processed_status"))
+            known = known.join(done, SITE_ID, "left").select(SITE_ID, status.alias("processed_status"))
+            claims = claim_submissions(ids, known, SITE_ID)
             write_batch(claims.filter(F.col("action") != "skip"), claims_path, batch_id)
 
-    return run_batches(messages, each, checkpoint)
+    return run_batches(messages, each, checkpoint, available_now)
 
 
-def stream_status(attempts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_status(
+    attempts: DataFrame, path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
     """Newest status per id, written as one change row per id and micro-batch.
 
     State holds one row per id.  ``path`` is a change log; :func:`current_status`
@@ -119,13 +138,12 @@ def stream_status(attempts: DataFrame, path: str, checkpoint: str) -> StreamingQ
         ).alias("_s")
     )
     changes = newest.select(SITE_ID, "_s.*")
-    return (
+    writer = (
         changes.writeStream.outputMode("update")
         .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def current_status(changes: DataFrame) -> DataFrame:
@@ -136,7 +154,7 @@ def current_status(changes: DataFrame) -> DataFrame:
 
 
 def stream_dead_letter(
-    messages: DataFrame, ids_path: str, dead_path: str, checkpoint: str
+    messages: DataFrame, ids_path: str, dead_path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Split messages into ids and dead letters, each with its own output."""
 
@@ -145,4 +163,4 @@ def stream_dead_letter(
         write_batch(good.select("delivery_tag", "submission_id"), ids_path, batch_id)
         write_batch(dead.select("delivery_tag", "value", "ts"), dead_path, batch_id)
 
-    return run_batches(messages, each, checkpoint)
+    return run_batches(messages, each, checkpoint, available_now)

@@ -12,7 +12,12 @@ USER_COLUMNS = "user_id long, date_added timestamp, user_name string"
 
 
 def stream_insert_users(
-    found: DataFrame, users: DataFrame, added_path: str, checkpoint: str, date_added: Column
+    found: DataFrame,
+    users: DataFrame,
+    added_path: str,
+    checkpoint: str,
+    date_added: Column,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Add the names of a stream that neither ``users`` nor an earlier batch has.
 
@@ -29,4 +34,4 @@ def stream_insert_users(
             rows = insert_ignore_users(names, known, date_added.cast("timestamp"))
             write_batch(rows, added_path, batch_id)
 
-    return run_batches(found, each, checkpoint)
+    return run_batches(found, each, checkpoint, available_now)

@@ -130,6 +130,18 @@ def test_hash_folders_and_uris(spark, tmp_path):
     assert {bytes(r.content) for r in A.read_listed_files(listed, 2).collect()} == {b"abc/x", b"00f/y"}
 
 
+def test_walk_finds_every_file(spark, tmp_path):
+    names = ["flat.warc", "abc/x", "zzz/yes", "a/b/c/d/deep", "_odd/.name", "abc/empty"]
+    for name in names:
+        (tmp_path / "tree" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "tree" / name).write_text("" if "empty" in name else name)
+    (tmp_path / "tree" / "bare" / "folder").mkdir(parents=True)
+    for root in (f"{tmp_path}/tree", f"file://{tmp_path}/tree"):
+        rows = A.dir_manifest(A.walk_tree(spark, root), 1).collect()
+        assert {r.file_path for r in rows} == {f"{tmp_path}/tree/{name}" for name in names}
+        assert len(rows) == len(names)
+
+
 def test_spark_reader_skips_empty_files(spark, tmp_path):
     (tmp_path / "one.warc").write_bytes(archive(b"<p>"))
     (tmp_path / "two.warc").write_bytes(b"")

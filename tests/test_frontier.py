@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from crawlframe.operators import frontier as R
 from crawlframe.plans.catch_up import catch_up_messages, newest_on_site
@@ -87,3 +88,18 @@ def test_id_bounds(spark):
 
 def test_latest_id_of_nothing_is_null(spark):
     assert R.latest_id(id_table(spark, []).withColumnRenamed("id", "site_submission_id")).first()[0] is None
+
+
+def test_catch_up_ids_lie_in_many_tasks(spark):
+    latest = spark.createDataFrame([(0,)], "latest_id long")
+    on_site = spark.createDataFrame([(4_000_000,)], "site_id long")
+    ids = R.catch_up_ids(latest, on_site, 100_000)
+    tasks = ids.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(row["count"] for row in tasks) == 4_000_000 and len(tasks) > 2
+
+
+def test_gaps_of_sparse_ids(spark):
+    ids = spark.range(20_000).select((F.col("id") * 1_000_003 - 7_000_000_000).alias("id"))
+    gaps = R.missing_ranges(ids)
+    assert gaps.count() == 19_999
+    assert gaps.agg(F.sum("n")).first()[0] == 19_999 * 1_000_002

@@ -69,19 +69,43 @@ def test_attempts_are_at_least_once_and_replays_change_nothing(spark, tmp_path):
     assert batches.select("batch_id").distinct().count() == 3
 
 
-def test_finished_ids_are_skipped(spark, tmp_path):
+def test_only_finished_ids_are_skipped(spark, tmp_path):
     put(spark, str(tmp_path / "q"), *FILES)
     known = spark.createDataFrame(
         [(1, 20, "finished"), (2, 30, "todo")],
         "submission_id long, site_submission_id long, processed_status string",
     )
+    spark.createDataFrame([(40,)], "id long").write.parquet(f"{tmp_path}/done/batch_id=0")
+    extra = spark.createDataFrame([(90 + k, str(key).encode(), START) for k, key in enumerate((30, 50, 40))],
+                                  "delivery_tag long, value binary, ts timestamp")
+    extra.coalesce(1).write.mode("append").parquet(f"{tmp_path}/q2")
+    extra.filter("value <> X'3430'").coalesce(1).write.mode("append").parquet(f"{tmp_path}/q2")
     for run in range(2):
         S.stream_skip_finished(
-            read_message_stream(spark, str(tmp_path / "q")), known, f"{tmp_path}/claim",
-            f"{tmp_path}/check{run}",
+            read_message_stream(spark, str(tmp_path / "q2"), max_files=1), known,
+            f"{tmp_path}/claim", f"{tmp_path}/check{run}", f"{tmp_path}/done",
         ).awaitTermination()
         claims = read_batches(spark, f"{tmp_path}/claim", "id long, action string")
-        assert sorted((r.id, r.action) for r in claims.collect()) == [(10, "new"), (30, "reuse")]
+        # 30 and 50 are delivered twice and not finished: claimed again, the second time as known rows
+        assert sorted((r.id, r.action, r.batch_id) for r in claims.collect()) == [
+            (30, "reuse", 0), (30, "reuse", 1), (50, "new", 0), (50, "reuse", 1)
+        ]
+
+
+def test_two_contents_of_an_id_make_one_attempt_each(spark, tmp_path):
+    rows = [(k, b"7", START) for k in (1, 2)]
+    frame = spark.createDataFrame(rows, "delivery_tag long, value binary, ts timestamp")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/q")
+    fetched = spark.createDataFrame(
+        [(7, 3, "aa"), (7, 4, "bb")], "site_submission_id long, content_length long, content_sha512 string"
+    )
+    S.stream_attempts(
+        read_message_stream(spark, f"{tmp_path}/q"), fetched, f"{tmp_path}/a", f"{tmp_path}/c",
+        f"{tmp_path}/check", F.lit("w"),
+    ).awaitTermination()
+    assert read_batches(spark, f"{tmp_path}/a", S.ATTEMPT_COLUMNS).count() == 2
+    content = read_batches(spark, f"{tmp_path}/c", S.CONTENT_COLUMNS).collect()
+    assert sorted((r.attempt_id, r.content_sha512) for r in content) == [(1, "bb"), (2, "bb")]
 
 
 def test_repeats_within_the_delay_are_dropped(spark, tmp_path):

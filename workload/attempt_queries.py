@@ -184,6 +184,34 @@ def apply(spark, d):
     )
 
 
+OBSERVED = """CASE WHEN o_orderkey % 5 = 0 THEN NULL
+                   WHEN o_totalprice > 150000 THEN 'exists' ELSE 'deleted' END"""
+
+
+@query(
+    "finish_submissions",
+    with_tables(
+        f"""
+        SELECT site_submission_id,
+               CASE WHEN open AND state IS NOT NULL THEN state ELSE submission_status END
+                 AS submission_status,
+               CASE WHEN open AND state IS NOT NULL THEN 'finished' ELSE processed_status END
+                 AS processed_status
+        FROM (SELECT submission.*, processed_status <> 'finished' AS open, {OBSERVED} AS state
+              FROM submission LEFT JOIN orders ON o_orderkey = site_submission_id)""",
+        "submission",
+    ),
+)
+def finish(spark, d):
+    """The submission table after visits to its ids, some without a result."""
+    seen = frames.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("site_submission_id"), F.expr(OBSERVED).alias("submission_status")
+    )
+    now = F.lit("2025-01-01").cast("timestamp_ntz")
+    after = A.finish_submissions(frames.submissions(spark, d), seen, now)
+    return after.select("site_submission_id", "submission_status", "processed_status")
+
+
 @query(
     "file_safe_timestamp",
     "SELECT event_id, strftime(ts, '%Y-%m-%dT%H_%M_%S.%f') || '+0000' AS stamp FROM events",

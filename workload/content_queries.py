@@ -49,10 +49,10 @@ def sql_size(size: str) -> str:
     ),
 )
 def manifest(spark, d):
-    """Export every blob to its own file, then list the hash folders."""
+    """Export every blob to its own file, then walk the folders."""
     root = scratch_path(spark, "archive")
     blobs.export_blobs(frames.contents(spark, d), _as_uri(root)).write.parquet(f"{root}-receipts")
-    rows = archives.dir_manifest(archives.list_files(archives.hash_folders(spark, root)), run_id=7)
+    rows = archives.dir_manifest(archives.walk_tree(spark, root), run_id=7)
     relative = F.regexp_extract("file_path", "([^/]+/[^/]+)$", 1)
     return rows.select(
         "run_id", "processed_status", relative.alias("file"), "warc_sha512", "submission_status"

@@ -179,7 +179,7 @@ def block(spark, d):
         {'header': 'program_identity_string',
          'value': 'FQDN[host-' || (page_id % 5) || ']-PID[55]-VER[0.2.7]'}]) AS e
       FROM pages)
-    SELECT '/archive/' || page_id || '.warc' AS path, e.header AS header, e.value AS value FROM h""",
+    SELECT '/archive/' || page_id || '.warc' AS path, e.header AS header, ' ' || e.value AS value FROM h""",
 )
 def headers(spark, d):
     parsed = archives.with_records(frames.warc_files(spark, d), ("warcinfo",))
