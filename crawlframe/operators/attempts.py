@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlframe.operators.ordered import SLOT, previous_row, with_slots
+from crawlframe.operators.ordered import SLOT, slot_of
 from crawlframe.schemas import SITE_ID
 
 
@@ -91,48 +91,50 @@ def worker_throughput(attempts: DataFrame, width: str = "1 hour") -> DataFrame:
 
 
 def worker_sessions(
-    attempts: DataFrame,
-    idle_seconds: int = 1800,
-    rows_per_slot: int = 500_000,
+    attempts: DataFrame, idle_seconds: int = 1800, slot_seconds: int = 86_400
 ) -> DataFrame:
     """Runs of attempts of a worker with no pause longer than ``idle_seconds``.
 
-    ``claimed_by, session_start, session_end, n_attempts``.  A worker with more
-    than ``rows_per_slot`` attempts is cut into time slots.  Sessions inside a slot are final at once; only
-    pieces that touch a slot's start or end, at most two per slot, are put
-    together across slots.
+    ``claimed_by, session_start, session_end, n_attempts``.  Attempts at the
+    same moment are counted into one row before the shuffle, so a bulk import
+    with one timestamp is one row per task.  A worker's moments are put
+    together within slots of ``slot_seconds``; of the pieces of a slot only the
+    first and the last can go on in another slot, and only these, at most two
+    per slot, meet in one window per worker.
     """
     worker, second = "claimed_by", 1_000_000
-    order = ["date_visited", "scrape_attempt_id"]
-    micros = F.unix_micros(F.col("date_visited").cast("timestamp"))
-    rows = attempts.select(worker, *order, micros.alias("_t"))
-    rows = with_slots(rows, [worker], F.col("_t"), rows_per_slot)
-    newest = F.struct(F.max("_t").alias("_t"))
-    walked = previous_row(rows, [worker], order, ["_t"], "_prev", newest)
-    pause = F.col("_t") - F.col("_prev._t")
-    starts = F.col("_prev").isNull() | (pause > idle_seconds * second)
-    walked = walked.withColumn("_starts", starts.cast("int"))
-
-    slot = [worker, *SLOT]
+    start = slot_of(F.col("date_visited"), slot_seconds)
+    moments = attempts.groupBy(worker, start.alias(SLOT), "date_visited").agg(F.count("*").alias("_n"))
+
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    def starts(before: str, at: str) -> Column:
+        pause = micros(at) - micros(before)
+        return F.when(F.col(before).isNull() | (pause > idle_seconds * second), 1).otherwise(0)
+
+    slot = Window.partitionBy(worker, SLOT)
+    walk = slot.orderBy("date_visited")
     pieces = (
-        walked.withColumn("_no", F.sum("_starts").over(Window.partitionBy(*slot).orderBy(*order)))
-        .groupBy(*slot, "_no")
+        moments.withColumn("_before", F.lag("date_visited").over(walk))
+        .withColumn("_no", F.sum(starts("_before", "date_visited")).over(walk))
+        .groupBy(worker, SLOT, "_no")
         .agg(
             F.min("date_visited").alias("session_start"),
             F.max("date_visited").alias("session_end"),
-            F.count("*").alias("n_attempts"),
-            F.max("_starts").alias("_starts"),
+            F.sum("_n").alias("n_attempts"),
         )
-        .withColumn("_last_no", F.max("_no").over(Window.partitionBy(*slot)))
+        .withColumn("_last_no", F.max("_no").over(slot))
     )
-    # A piece that starts in its slot and is followed there by another is whole
-    # and gets a lane to itself; the others of a worker share lane 0.
-    whole = (F.col("_starts") == 1) & (F.col("_no") < F.col("_last_no"))
-    lane = F.when(whole, F.xxhash64(*SLOT, "_no")).otherwise(0)
-    along = Window.partitionBy(worker, "_lane").orderBy(*SLOT, "_no")
+    # A piece between two others of its slot is whole and gets a lane to itself;
+    # the others of a worker share lane 0.
+    whole = (F.col("_no") > 1) & (F.col("_no") < F.col("_last_no"))
+    lane = F.when(whole, F.struct(SLOT, "_no")).otherwise(F.lit(None))
+    along = Window.partitionBy(worker, "_lane").orderBy(SLOT, "_no")
     return (
         pieces.withColumn("_lane", lane)
-        .withColumn("_session", F.sum("_starts").over(along))
+        .withColumn("_before", F.lag("session_end").over(along))
+        .withColumn("_session", F.sum(starts("_before", "session_start")).over(along))
         .groupBy(worker, "_lane", "_session")
         .agg(
             F.min("session_start").alias("session_start"),

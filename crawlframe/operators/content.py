@@ -14,7 +14,7 @@ from crawlframe.functions.codecs import (
     train_dictionary,
 )
 from crawlframe.functions.content import digest, human_size, payload_state, size_in_bytes
-from crawlframe.operators.ordered import previous_row, with_slots
+from crawlframe.operators.ordered import SLOT, previous_row, slot_of
 
 
 def payload_batch(content: DataFrame) -> DataFrame:
@@ -98,11 +98,15 @@ def page_changes(
     sha: str = "original_data_sha512",
     visited: str = "date_visited",
     key: str = "submission_webpage_id",
-    rows_per_slot: int = 500_000,
+    slot_seconds: int = 30 * 86_400,
 ) -> DataFrame:
-    """Each visit with ``change``: ``first``, ``changed`` or ``unchanged``."""
-    at = F.unix_micros(F.col(visited).cast("timestamp"))
-    rows = with_slots(visits.select(page, visited, key, sha), [page], at, rows_per_slot)
+    """Each visit with ``change``: ``first``, ``changed`` or ``unchanged``.
+
+    A page's visits are put in order within slots of ``slot_seconds``, each in
+    one task; visits of one page at one and the same moment stay together.
+    """
+    start = slot_of(F.col(visited), slot_seconds)
+    rows = visits.select(page, visited, key, sha, start.alias(SLOT))
     walked = previous_row(rows, [page], [visited, key], [sha], "_prev")
     change = (
         F.when(F.col("_prev").isNull(), "first")
@@ -223,20 +227,18 @@ def dictionary_profile(
     """The ``zstd_dict`` rows of :func:`compression_profile`.
 
     Every blob is stored with the dictionary of its own shard, which meets
-    the shard's blobs once, not once per blob.  Shards without a dictionary
-    are left out, as the codec does not exist for them.
+    the shard's blobs once, not once per blob.  Blobs of a shard that was too
+    small to train on are stored without one, and count all the same.
     """
 
     def measure(key_values: tuple, blobs: pd.DataFrame, trained: pd.DataFrame) -> pd.DataFrame:
         zstandard = load_zstandard()
         columns = [group, "n", "stored_bytes", "ratios"]
-        trained = trained[trained["dictionary"].notna()]
-        if zstandard is None or trained.empty or blobs.empty:
+        if zstandard is None or blobs.empty:
             return pd.DataFrame(columns=columns)
-        codec = zstandard.ZstdCompressor(
-            level=level,
-            dict_data=zstandard.ZstdCompressionDict(bytes(trained["dictionary"].iloc[0])),
-        )
+        trained = trained[trained["dictionary"].notna()]["dictionary"]
+        known = None if trained.empty else zstandard.ZstdCompressionDict(bytes(trained.iloc[0]))
+        codec = zstandard.ZstdCompressor(level=level, dict_data=known)
         raw = blobs["_data"].map(len)
         stored = blobs["_data"].map(lambda blob: len(codec.compress(bytes(blob))))
         ratios = float((stored / raw.where(raw > 0)).sum())

@@ -5,85 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOT = ["_part", "_slot"]
-# A key or part with too many rows is cut at this many quantiles.
-CUTS = [place / 32 for place in range(1, 32)]
+SLOT = "_slot"
+# The slot of rows without a time, which sort first.
+_BEFORE_ALL = -(2**62)
 
 
-def _cut(
-    rows: DataFrame, counted: DataFrame, group: list[str], rows_per_slot: int, out: str
-) -> DataFrame:
-    """Number the quantile spans of ``_at`` within groups that have too many rows, 0 elsewhere.
-
-    Groups are looked for in ``counted``, a part of ``rows``.  There are at
-    most (rows / ``rows_per_slot``) of them, each with 31 numbers, which is what
-    makes the table of their cuts safe to broadcast.  Without such groups
-    adaptive execution drops everything but the count.
-    """
-    crowded = (
-        counted.groupBy(*group)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > rows_per_slot)
-        .select(*group)
-    )
-    cuts = (
-        counted.join(F.broadcast(crowded), group, "left_semi")
-        .groupBy(*group)
-        .agg(F.percentile_approx("_at", CUTS, 1000).alias("_cuts"))
-    )
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_at"))).cast("long")
-    return (
-        rows.join(F.broadcast(cuts), group, "left")
-        .withColumn(out, F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0).cast("long")))
-        .withColumn("_cut", F.col("_cuts").isNotNull())
-        .drop("_cuts")
-    )
-
-
-def with_slots(df: DataFrame, keys: list[str], at: Column, rows_per_slot: int) -> DataFrame:
-    """Add ``_part, _slot``: pieces of a key's history that follow each other in ``at``.
-
-    Keys of up to ``rows_per_slot`` rows stay whole.  Larger ones are cut into
-    parts of about equally many rows, and parts that are still too large once
-    more: 1,024 slots at most.  ``_split`` tells whether a row's key was cut.
-    Rows with one and the same ``at`` stay together.
-    """
-    rows = df.withColumn("_at", at)
-    parts = _cut(rows, rows, keys, rows_per_slot, "_part").withColumnRenamed("_cut", "_split")
-    slots = _cut(parts, parts.filter("_split"), [*keys, "_part"], rows_per_slot, "_slot")
-    return slots.drop("_at", "_cut")
+def slot_of(moment: Column, slot_seconds: int) -> Column:
+    """Number of the span of ``slot_seconds`` that a time lies in, the same for every key and size."""
+    number = F.floor(F.unix_micros(moment.cast("timestamp")) / F.lit(slot_seconds * 1_000_000))
+    return F.coalesce(number.cast("long"), F.lit(_BEFORE_ALL))
 
 
 def previous_row(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[str],
-    carry: list[str],
-    out: str,
-    last: Column | None = None,
+    rows: DataFrame, keys: list[str], order: list[str], carry: list[str], out: str
 ) -> DataFrame:
     """Add ``out``: struct of ``carry`` of the row before, per ``keys`` in ``order``.
 
-    ``rows`` has the slot columns of :func:`with_slots`.  Rows are sorted
-    within a slot only, so a key that holds a third of the table is spread over
-    many tasks.  The last row of each slot of a key that was cut is then handed
-    to the first row of the next slot, through a table with one row per slot.
-    ``out`` is null on the first row of a key; keys are not null.  The slot
-    columns stay, so that a caller can go on in the same partitioning.
-    ``last`` may give a cheaper aggregate for the ``carry`` of a slot's last row.
+    ``rows`` has a ``_slot`` that grows with ``order`` (see :func:`slot_of`).
+    They are shuffled once, by key and slot, and sorted within a slot only, so
+    a key that holds a third of the table is spread over as many tasks as it
+    has slots.  The last row of each slot is handed to the first row of the
+    key's next slot through a table with one row per key and slot, made from
+    the same shuffle.  ``out`` is null on the first row of a key; null
+    counts as a key.  Rows of one key and slot stay together.
     """
-    slots = [*keys, *SLOT]
+    slots = ["_key", SLOT]
     carried = F.struct(*carry)
-    if last is None:
-        last = F.max_by(carried, F.struct(*order))
-    ends = rows.filter("_split").groupBy(*slots).agg(last.alias("_last"))
-    across = Window.partitionBy(*keys).orderBy(*SLOT)
+    # A struct is never null, so the join below puts no filter on one of its sides
+    # and both go on from one and the same shuffle.
+    dealt = rows.withColumn("_key", F.struct(*keys)).drop(*keys).repartition(*slots)
+    ends = dealt.groupBy(*slots).agg(F.max_by(carried, F.struct(*order)).alias("_last"))
+    across = Window.partitionBy("_key").orderBy(SLOT)
     edges = ends.select(*slots, F.lag("_last").over(across).alias("_before"))
 
     inside = Window.partitionBy(*slots).orderBy(*order)
-    walked = rows.withColumn(out, F.lag(carried).over(inside))
-    return (
-        walked.join(edges, slots, "left")
-        .withColumn(out, F.coalesce(out, "_before"))
-        .drop("_before", "_split")
-    )
+    walked = dealt.withColumn(out, F.lag(carried).over(inside))
+    joined = walked.join(edges, slots, "left").withColumn(out, F.coalesce(out, "_before"))
+    return joined.select(*[F.col(f"_key.{key}") for key in keys], *[c for c in rows.columns if c not in keys], out)

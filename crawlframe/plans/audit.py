@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlframe.operators.attempts import pending_items
 from crawlframe.operators.records import hole_verdict
 from crawlframe.profile import SiteProfile
-from crawlframe.sources.archives import LOCAL_SCHEME
+from crawlframe.sources.archives import LOCAL_SCHEME, read_listed_files
 
 
 def audit_archives(
@@ -32,3 +33,22 @@ def audit_archives(
         F.col("sha512").alias("warc_sha512"),
         "submission_status",
     )
+
+
+def audit_pending(
+    manifest: DataFrame,
+    run_id: int,
+    tasks: int,
+    profile: SiteProfile = SiteProfile(),
+    cloudflare: str | None = None,
+    maintenance: str | None = None,
+) -> DataFrame:
+    """Rows of :func:`audit_archives` for the files that a run's manifest still lists as ``todo``.
+
+    A run that stopped half-way goes on where it was: files that are finished
+    are not opened.  Only paths are shuffled, to be read by ``tasks`` tasks.
+    """
+    todo = pending_items(manifest.filter(F.col("run_id") == run_id))
+    listing = todo.select(F.col("file_path").alias("path")).distinct()
+    files = read_listed_files(listing, tasks)
+    return audit_archives(files, run_id, profile, cloudflare, maintenance)

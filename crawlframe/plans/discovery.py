@@ -14,6 +14,7 @@ from crawlframe.operators.pages import (
     STATUS_SELECTORS,
     Extractor,
     extractor_selectors,
+    mention_errors,
     mentions_of,
     page_status_of,
     with_elements,
@@ -49,7 +50,11 @@ def discover_users(
     extractors: tuple[Extractor, ...] = EXTRACTORS,
     profile: SiteProfile = SiteProfile(),
 ) -> DataFrame:
-    """User rows to append for the pages that exist."""
+    """User rows to append for the pages that exist.
+
+    Pages that break a rule of an extractor give no rows;
+    :func:`unread_pages` lists them.
+    """
     existing = classified_pages(pages, extractors).filter(
         F.col("submission_status") == "exists"
     )
@@ -57,6 +62,18 @@ def discover_users(
     return insert_ignore_users(found, users, date_added)
 
 
+def unread_pages(
+    pages: DataFrame,
+    extractors: tuple[Extractor, ...] = EXTRACTORS,
+    profile: SiteProfile = SiteProfile(),
+) -> DataFrame:
+    """``page_id, role``: pages that exist but break a rule, which :func:`discover_users` leaves out."""
+    existing = classified_pages(pages, extractors).filter(
+        F.col("submission_status") == "exists"
+    )
+    return mention_errors(existing, extractors, profile)
+
+
 def webpage_rows(pages: DataFrame, visited_at: Column) -> DataFrame:
     """``submission_webpage`` rows for ``submission_id, content`` pages."""
     packed = compress_and_digest(

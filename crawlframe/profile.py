@@ -11,15 +11,12 @@ from dataclasses import dataclass
 # The archive's own formats.  They must stay as they are.
 USERNAME_CHARS = r"a-zA-Z0-9_\-~.`\[\]^"
 VIEW_ID_PATTERN = "/view/([0-9]+)/"
-DELETED_TEXT = (
-    "The submission you are trying to find is not in our database."
-    + " " * 16
-    + "\nClick here to go back"
-)
+DELETED_TEXT = "The submission you are trying to find is not in our database.                \nClick here to go back"
 GDPR_BODY_ID = "pageid-error-account-unavailable-deleted"
 FILE_SAFE_TIMESTAMP = "yyyy-MM-dd'T'HH_mm_ss.SSSSSS"
-ARCHIVE_STEM = "fascrape_content"
 ARCHIVED_PAGE_NAME = "webpage_data.txt"
+# Stored files are named with this unless a caller gives the stem of their archive.
+ARCHIVE_STEM = "crawl_content"
 # The selectors of the page elements that carry data.
 SELECT_ARTIST = "div.submission-id-avatar > a"
 SELECT_COMMENTER = "strong.comment_username > h3"
@@ -28,7 +25,7 @@ SELECT_LINK = "a.linkusername"
 SELECT_AUTOLINK = "a.auto_link"
 SELECT_FRONTPAGE = "#gallery-frontpage-submissions figure a[href]"
 SELECT_SECTION = "div.section-body"
-SELECT_GDPR = "body#" + GDPR_BODY_ID
+SELECT_GDPR = "body#pageid-error-account-unavailable-deleted"
 
 
 @dataclass(frozen=True)

@@ -282,17 +282,20 @@ def record_block(
     value: str = "value",
     lines_per_segment: int = 16_384,
 ) -> DataFrame:
-    """``key, segment, block``: the decoded chunks joined in line order.
+    """``key, block``: the decoded chunks joined in line order, one row per record.
 
-    A record of up to ``lines_per_segment`` lines is one row with segment 0.
-    A larger one comes as several segments, in order, so that no task ever
-    gathers more than that many chunks.
+    Runs of ``lines_per_segment`` lines are joined first, then the runs in
+    order, so no task gathers the single chunks of a long record.  A block must
+    fit a binary value (2 GB); :func:`record_chunks` has no such limit.
     """
     chunks = record_chunks(lines, value).withColumn(
-        "segment", F.floor(F.col(line_no) / lines_per_segment).cast("long")
+        "_segment", F.floor(F.col(line_no) / lines_per_segment).cast("long")
     )
     joined = F.expr(f"listagg(chunk) WITHIN GROUP (ORDER BY `{line_no}`)")
-    return chunks.groupBy(key, "segment").agg(joined.alias("block"))
+    runs = chunks.groupBy(key, "_segment").agg(joined.alias("_run"))
+    return runs.groupBy(key).agg(
+        F.expr("listagg(_run) WITHIN GROUP (ORDER BY _segment)").alias("block")
+    )
 
 
 def http_body(block: Column) -> Column:

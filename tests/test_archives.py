@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from crawlframe.operators import records as R
-from crawlframe.plans.audit import audit_archives
+from crawlframe.plans.audit import audit_archives, audit_pending
 from crawlframe.profile import DELETED_TEXT
 from crawlframe.sources import archives as A
 
@@ -118,6 +118,11 @@ def test_audit_from_a_folder(spark, tmp_path):
         (str(tmp_path / "abc" / "one.warc"), "present"), (str(tmp_path / "_two.warc"), "unknown")
     }
     assert all(len(r.warc_sha512) == 128 and r.run_id == 9 for r in rows)
+    # A run that was stopped goes on with what its manifest still has to do.
+    one_done = F.when(F.col("file_path").endswith("one.warc"), "finished").otherwise("todo")
+    manifest = A.dir_manifest(listed, 9).withColumn("processed_status", one_done)
+    left = audit_pending(manifest.unionByName(A.dir_manifest(listed, 8)), 9, 2).collect()
+    assert left == [r for r in rows if r.file_path.endswith("_two.warc")]
 
 
 def test_hash_folders_and_uris(spark, tmp_path):
@@ -170,7 +175,7 @@ def test_record_index(spark):
     ]
 
 
-def test_record_block_in_order_and_in_segments(spark):
+def test_record_block_is_one_row_in_line_order(spark):
     chunks = [bytes([65 + i]) * 3 for i in range(10)]
     lines = [(1, 0, json.dumps({"ExtractMetadata": {"x": 1}}))] + [
         (1, i + 1, json.dumps({"BlockChunk": {"data": base64.b64encode(c).decode()}}))
@@ -179,6 +184,11 @@ def test_record_block_in_order_and_in_segments(spark):
     table = spark.createDataFrame(lines[::-1], "rec long, line_no long, value string").repartition(3)
     whole = A.record_block(table, "rec", "line_no").collect()
     assert len(whole) == 1 and bytes(whole[0].block) == b"".join(chunks)
-    pieces = A.record_block(table, "rec", "line_no", lines_per_segment=4).orderBy("segment").collect()
-    assert [r.segment for r in pieces] == [0, 1, 2]
-    assert b"".join(bytes(r.block) for r in pieces) == b"".join(chunks)
+    assert A.record_block(table, "rec", "line_no", lines_per_segment=4).collect() == whole
+
+
+def test_long_record_is_one_row(spark):
+    line = F.to_json(F.struct(F.struct(F.base64(F.lit(b"ab")).alias("data")).alias("BlockChunk")))
+    lines = spark.range(20_000).select(F.lit(1).alias("rec"), F.col("id").alias("line_no"), line.alias("value"))
+    rows = A.record_block(lines, "rec", "line_no").select(F.octet_length("block")).collect()
+    assert [r[0] for r in rows] == [40_000]

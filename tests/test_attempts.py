@@ -67,11 +67,11 @@ def brute_sessions(rows, idle):
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize(
-    "idle, slot_rows", [(300, 10), (60, 7), (5000, 1000), (1, 2), (2000, 1)]
+    "idle, slot_seconds", [(300, 100), (60, 700), (5000, 86_400), (1, 20), (2000, 1)]
 )
-def test_sessions_against_brute_force(spark, seed, idle, slot_rows):
+def test_sessions_against_brute_force(spark, seed, idle, slot_seconds):
     rows, log = attempt_table(spark, seed)
-    found = A.worker_sessions(log, idle, slot_rows)
+    found = A.worker_sessions(log, idle, slot_seconds)
     assert sorted(tuple(r) for r in found.collect()) == brute_sessions(rows, idle)
 
 

@@ -16,8 +16,8 @@ START = datetime(2024, 1, 1)
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("slot_rows", [1, 5, 40, 1000])
-def test_page_changes_against_brute_force(spark, seed, slot_rows):
+@pytest.mark.parametrize("slot_seconds", [1, 60, 1000, 10**6])
+def test_page_changes_against_brute_force(spark, seed, slot_seconds):
     rng = random.Random(seed)
     rows = [
         (i, 0 if rng.random() < 0.4 else rng.randrange(1, 9),
@@ -34,7 +34,7 @@ def test_page_changes_against_brute_force(spark, seed, slot_rows):
         before = last.get(page)
         expected[key] = "first" if before is None else "unchanged" if before == sha else "changed"
         last[page] = sha
-    found = C.page_changes(visits, rows_per_slot=slot_rows)
+    found = C.page_changes(visits, slot_seconds=slot_seconds)
     assert {r.submission_webpage_id: r.change for r in found.collect()} == expected
     assert found.count() == len(rows)
 
@@ -63,8 +63,8 @@ def test_webpage_rows_are_repeatable(spark):
 
 def test_content_rows_from_file_names(spark):
     files = spark.createDataFrame(
-        [("/a/abc/fascrape_content_cid-1_aid-11.tar.xz", bytearray(b"xy")),
-         ("file:/a/fascrape_content_sid-5_aid-12.warc", bytearray(b"")),
+        [("/a/abc/crawl_content_cid-1_aid-11.tar.xz", bytearray(b"xy")),
+         ("file:/a/crawl_content_sid-5_aid-12.warc", bytearray(b"")),
          ("/a/readme.txt", bytearray(b"z"))],
         "path string, content binary",
     )
@@ -94,8 +94,8 @@ def test_export_writes_files_and_repeats_harmlessly(spark, tmp_path):
         receipts = blobs.export_blobs(blob_table(spark), f"file://{tmp_path}").collect()
         assert {(r.content_id, r.n_bytes) for r in receipts} == {(1, 2), (4, 3)}
     files = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.tar.xz"))
-    assert files == ["abc/fascrape_content_cid-1_aid-11.tar.xz",
-                     "def/fascrape_content_cid-4_aid-44.tar.xz"]
+    assert files == ["abc/crawl_content_cid-1_aid-11.tar.xz",
+                     "def/crawl_content_cid-4_aid-44.tar.xz"]
     assert (tmp_path / files[1]).read_bytes() == b"yyy"
 
 
@@ -152,6 +152,13 @@ def test_dictionaries_use_every_sample_in_bounded_shards(spark):
     assert size[("big", "none")].avg_ratio == 1.0
 
 
+def test_blobs_without_a_dictionary_count_too(spark):
+    few = sample_table(spark, 3)
+    trained = C.codec_dictionary(few, "source", "id", "data")
+    rows = C.dictionary_profile(few, trained, "source", "id", "data").collect()
+    assert {r.source: r.n for r in rows} == {"small": 1, "big": 2}
+
+
 def test_too_little_data_gives_no_dictionary(spark):
     few = sample_table(spark, 2)
     assert [r.dictionary for r in C.codec_dictionary(few, "source", "id", "data").collect()] == [None, None]

@@ -115,18 +115,19 @@ def test_gaps_gather_one_row_per_bucket_only(spark, no_broadcast):
     assert "partial_max" in plan
 
 
-def test_only_bounded_tables_are_broadcast(spark, attempts, no_broadcast):
-    """With automatic broadcasts off, only the table of crowded slots is left."""
-    tree = explained(A.worker_sessions(attempts)).split("\n\n")[0]
-    joins = [line for line in tree.splitlines() if "BroadcastHashJoin" in line]
-    # Each is of groups above the row limit, or of their cuts.
-    plan = explained(A.worker_sessions(attempts))
-    assert joins and "> 500000" in plan
-    built = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
-    assert built and all(
-        "_cuts" in columns or re.fullmatch(r"claimed_by#\w+(, _part#\w+)?", columns)
-        for columns in built
-    )
+def test_sessions_scan_once_and_combine_before_the_shuffle(spark, no_broadcast):
+    plan = explained(A.worker_sessions(frames.attempts(spark, SF)))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Join" not in tree
+    assert "partial_count" in plan
+
+
+def test_page_versions_share_one_shuffle_of_the_visits(spark, no_broadcast):
+    rows = C.page_changes(frames.visits(spark, SF))
+    rows.collect()
+    final = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+    assert "Broadcast" not in final
 
 
 def test_rollup_expands_counts_not_rows(spark):

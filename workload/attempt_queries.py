@@ -72,13 +72,13 @@ def append(spark, d):
         """
         SELECT submission_id, claimed FROM (SELECT *, 'retired' AS claimed FROM submission)
         WHERE processed_status NOT IN ('todo', 'finished')""",
-        "submission",
+        "every_submission",
     ),
 )
 def domains(spark, d):
     """Rows with a status outside the domain, here made by renaming one status."""
     status = F.col("processed_status")
-    rows = frames.submissions(spark, d).withColumn(
+    rows = frames.all_submissions(spark, d).withColumn(
         "processed_status", F.when(status == "error", "retired").otherwise(status)
     )
     return domain_violations(rows, "submission").select(
@@ -90,11 +90,11 @@ def domains(spark, d):
     "pending_items",
     with_tables(
         "SELECT submission_id, submission_status FROM submission WHERE processed_status = 'todo'",
-        "submission",
+        "every_submission",
     ),
 )
 def pending(spark, d):
-    return A.pending_items(frames.submissions(spark, d)).select(
+    return A.pending_items(frames.all_submissions(spark, d)).select(
         "submission_id", "submission_status"
     )
 
@@ -199,7 +199,7 @@ OBSERVED = """CASE WHEN o_orderkey % 5 = 0 THEN NULL
                  AS processed_status
         FROM (SELECT submission.*, processed_status <> 'finished' AS open, {OBSERVED} AS state
               FROM submission LEFT JOIN orders ON o_orderkey = site_submission_id)""",
-        "submission",
+        "every_submission",
     ),
 )
 def finish(spark, d):
@@ -208,7 +208,7 @@ def finish(spark, d):
         F.col("o_orderkey").alias("site_submission_id"), F.expr(OBSERVED).alias("submission_status")
     )
     now = F.lit("2025-01-01").cast("timestamp_ntz")
-    after = A.finish_submissions(frames.submissions(spark, d), seen, now)
+    after = A.finish_submissions(frames.all_submissions(spark, d), seen, now)
     return after.select("site_submission_id", "submission_status", "processed_status")
 
 
@@ -287,11 +287,11 @@ def retry(spark, d):
         SELECT submission_status, processed_status, count(*) AS n,
                grouping(submission_status, processed_status) AS level
         FROM submission GROUP BY ROLLUP (submission_status, processed_status)""",
-        "submission",
+        "every_submission",
     ),
 )
 def rollup(spark, d):
-    return A.status_rollup(frames.submissions(spark, d))
+    return A.status_rollup(frames.all_submissions(spark, d))
 
 
 @query(

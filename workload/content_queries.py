@@ -22,7 +22,7 @@ from workload.frames import with_tables
 from workload.registry import query, sql_time, time_text
 
 BLOB_FILE = (
-    "substr(content_sha512, 1, 3) || '/fascrape_content_cid-' || content_id"
+    "substr(content_sha512, 1, 3) || '/crawl_content_cid-' || content_id"
     " || '_aid-' || attempt_id || '.tar.xz'"
 )
 
@@ -280,16 +280,16 @@ def changes(spark, d):
     "content_rows",
     with_tables(
         """
-        SELECT content_id, attempt_id, content_length, content_sha512 FROM content
-        WHERE payload <> ''""",
+        SELECT content_id, attempt_id, content_length, content_sha512 FROM content""",
         "content",
     ),
 )
 def stored_files(spark, d):
     """Content rows made from the stored files alone."""
-    rows = frames.contents(spark, d)
-    files = blobs.export_plan(rows).select(
-        F.col("file").alias("path"), F.col("content_binary").alias("content")
+    text, doc = F.col("text"), F.col("doc_id")
+    files = frames.table(spark, d, "documents").select(
+        blob_path(F.sha2(text, 256), doc, doc * 11, "/archive/").alias("path"),
+        text.cast("binary").alias("content"),
     )
     return content_rows(files, bits=256).drop("content_binary")
 

@@ -61,9 +61,13 @@ def day_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def submissions(spark: SparkSession, sf_dir: str, site_id: str = "o_orderkey") -> DataFrame:
-    """A third of the orders is left out: those ids have no row yet."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 != 0)
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The submissions before some messages come in: every third id has no row yet."""
+    return all_submissions(spark, sf_dir).filter(F.col("submission_id") % 3 != 0)
+
+
+def all_submissions(spark: SparkSession, sf_dir: str, site_id: str = "o_orderkey") -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
     digit = F.substring("o_orderpriority", 1, 1)
     status = F.col("o_orderstatus")
     return orders.select(
@@ -221,7 +225,7 @@ def warcinfo_text() -> Column:
         F.lit("software: Crawler/1.0 (linux)\r\nnot a header\r\nwget-arguments: \"-e\" \"a:b\"\r\n"),
         F.lit(f"{PROFILE.attempt_id_header}: 1\r\n{PROFILE.attempt_id_header}: "),
         number,
-        F.lit(f"\r\ndate: 2025-09-02T20:15:55+00:00\r\n{PROFILE.submission_header}: "),
+        F.lit(f"\r\ndate: 2023-05-17T08:31:12+00:00\r\n{PROFILE.submission_header}: "),
         number,
         F.lit("\r\nprogram_identity_string: FQDN[host-"),
         (F.col("page_id") % 5).cast("string"),
@@ -332,6 +336,9 @@ SQL: dict[str, str] = {
             AND regexp_matches('/user' || href, '^/user/({_NAME})/?$'))""",
 }
 
+# The submissions with a row for every id, under the same name.
+SQL["every_submission"] = SQL["submission"].replace("FROM orders WHERE o_orderkey % 3 <> 0", "FROM orders")
+
 
 def with_tables(query: str, *names: str) -> str:
     """Oracle SQL: the named derived tables, then the query."""

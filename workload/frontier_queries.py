@@ -292,14 +292,14 @@ def approx(spark, d):
                CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'one' ELSE 'many' END AS outcome,
                CASE WHEN n = 1 THEN first_id END AS submission_id
         FROM customer LEFT JOIN counted ON id = c_custkey""",
-        "submission",
+        "every_submission",
     ),
 )
 def lookup(spark, d):
     wanted = frames.table(spark, d, "customer").select(
         F.col("c_custkey").alias("site_submission_id")
     )
-    rows = frames.submissions(spark, d, "o_custkey")
+    rows = frames.all_submissions(spark, d, "o_custkey")
     found, violations = names.lookup_unique(wanted, rows, "site_submission_id")
     outcome = F.when(F.col("submission_id").isNull(), "none").otherwise("one")
     return found.select("site_submission_id", outcome.alias("outcome"), "submission_id").unionByName(

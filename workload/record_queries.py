@@ -24,7 +24,7 @@ _INFO_LINES = [
     "'wget-arguments: \"-e\" \"a:b\"'",
     "'gallery_scrape_attempt_id: 1'",
     "'gallery_scrape_attempt_id: ' || page_id",
-    "'date: 2025-09-02T20:15:55+00:00'",
+    "'date: 2023-05-17T08:31:12+00:00'",
     "'gallery_submission: ' || page_id",
     "'program_identity_string: FQDN[host-' || (page_id % 5) || ']-PID[55]-VER[0.2.7]'",
     "''",
@@ -141,7 +141,7 @@ def index(spark, d):
 
 @query(
     "record_block",
-    "SELECT doc_id, CAST(0 AS BIGINT) AS segment, text AS block FROM documents",
+    "SELECT doc_id, text AS block FROM documents",
 )
 def block(spark, d):
     """Texts cut into base64 chunk lines, put together again."""
@@ -174,7 +174,7 @@ def block(spark, d):
         {'header': 'software', 'value': 'Crawler/1.0 (linux)'},
         {'header': 'wget-arguments', 'value': '"-e" "a:b"'},
         {'header': 'gallery_scrape_attempt_id', 'value': CAST(page_id AS VARCHAR)},
-        {'header': 'date', 'value': '2025-09-02T20:15:55+00:00'},
+        {'header': 'date', 'value': '2023-05-17T08:31:12+00:00'},
         {'header': 'gallery_submission', 'value': CAST(page_id AS VARCHAR)},
         {'header': 'program_identity_string',
          'value': 'FQDN[host-' || (page_id % 5) || ']-PID[55]-VER[0.2.7]'}]) AS e
