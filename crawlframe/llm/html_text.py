@@ -41,6 +41,8 @@ ROLE = re.compile(
     r"|notices?|notification|alert|popup|modal|newsletter|subscribe|share|sharing|social|comments?|replies|reply|disqus|related"
     r"|recommend\w*|widget|login|search|legal|copyright|toolbar|pagination|pager)(?:$|[-_\s])"
 )
+#: Such a class tells what stands beside an element ("has-sidebar"), not what the element is.
+BESIDE = re.compile(r"(?<!\S)(?:has|with|without|no)[-_]\S+")
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 
 TOKEN = re.compile(
@@ -62,7 +64,7 @@ def boilerplate(tag: str, attributes: str, in_content: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
-        if name in ("class", "id") and tag not in ("html", "body") and ROLE.search(value):
+        if name in ("class", "id") and tag not in ("html", "body") and ROLE.search(BESIDE.sub("", value)):
             return True
     return False
 

@@ -516,6 +516,11 @@ def test_main_text():
     assert html_text.main_text(PAGE) == "A title\nFirst bold text, it's <fine>. Next line.\nSecond one.\nPoint one\nPoint two"
 
 
+def test_main_text_of_a_page_laid_out_beside_a_sidebar():
+    page = "<body><div class='content has-sidebar no_comments'><p>Some long text, of the page.</p></div><div class=sidebar><p>Aside, of it.</p></div></body>"
+    assert html_text.main_text(page) == "Some long text, of the page."
+
+
 def test_main_text_without_article():
     body = "".join(f"<div class='body'><p>{'Some words, well chosen. ' * 12}{k}</p></div>" for k in range(3))
     menu = "".join(f"<div><a href='/{k}'>Link {k}</a></div>" for k in range(12))
