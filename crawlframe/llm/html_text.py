@@ -46,11 +46,14 @@ BESIDE = re.compile(r"(?<!\S)(?:has|with|without|no)[-_]\S+")
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    rf"|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+#: The id of a heading, or of a section inside content, is an anchor named after what the text is about.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
@@ -64,6 +67,8 @@ def boilerplate(tag: str, attributes: str, in_content: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
+        if name == "id" and (tag in HEADINGS or (tag == "section" and in_content)):
+            continue
         if name in ("class", "id") and tag not in ("html", "body") and ROLE.search(BESIDE.sub("", value)):
             return True
     return False

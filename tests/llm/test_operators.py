@@ -521,6 +521,29 @@ def test_main_text_of_a_page_laid_out_beside_a_sidebar():
     assert html_text.main_text(page) == "Some long text, of the page."
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='side-effects'><p>{}</p></section>",
+        "<h2 id='related-work'>{}</h2>",
+        "<section id='search-results'><p>{}</p></section>",
+        "<p><a title='The hidden cost' data-x='a role=search'>{}</a></p>",
+        "<p data-hidden='false' hidden-by=none>{}</p>",
+        "<p><svg viewBox='0 0 > 1' />{}</p>",
+        "<p><math/>{}</p>",
+    ],
+)
+def test_main_text_keeps_what_only_looks_like_a_role(part):
+    text = "Words of the text, all of them."
+    assert html_text.main_text(f"<article><p>First, a line.</p>{part.format(text)}<p>Last, a line.</p></article>") == f"First, a line.\n{text}\nLast, a line."
+
+
+@pytest.mark.parametrize("marks", ["hidden", "hidden=''", "HIDDEN class=x", "title='a b'hidden", "aria-hidden=true", "role='search'", "class='share'", "id=comments"])
+def test_main_text_drops_marked_elements(marks):
+    page = f"<article><p>First, a line.</p><div {marks}><p>Not of the text, this.</p></div><svg><text>Drawn.</text></svg></article>"
+    assert html_text.main_text(page) == "First, a line."
+
+
 def test_main_text_without_article():
     body = "".join(f"<div class='body'><p>{'Some words, well chosen. ' * 12}{k}</p></div>" for k in range(3))
     menu = "".join(f"<div><a href='/{k}'>Link {k}</a></div>" for k in range(12))
