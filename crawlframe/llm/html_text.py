@@ -5,8 +5,9 @@ root and the block it stands in.  Per path, text length and punctuation are
 summed and divided by the number of its nodes; the two ratios are fused,
 smoothed over the paths that share a container, and paths below a share of
 the page's spread are dropped.  Containers that name their role (menus,
-headers, footers, asides, forms, adverts, notices, comments) count as zero,
-an ``article`` or ``main`` element raises its paths.
+headers, footers, asides, forms, adverts, notices, comments) count as zero.
+Where an ``article`` or ``main`` element has text, the ratios decide nothing:
+all in it that has no such role is kept, all outside is dropped.
 
 Null and empty pages, and pages without content, give an empty text.  Nothing
 of a kept path is dropped, short blocks included.  Equal pages give equal
