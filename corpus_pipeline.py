@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import exact_dedup, language_id, near_copies, packing, suffix_dedup
+from crawlframe.llm import exact_dedup, language_id, packing, simhash, suffix_dedup
 from crawlframe.llm.components import stored
 from crawlframe.llm.queries import VOCABULARY, tokenizer_path
 
@@ -26,8 +26,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 or more of its five-word shingles."""
-    return near_copies.keep_one(docs, width=5)
+    """One document of each group whose fingerprints of three-word shingles link at two bits or fewer."""
+    return simhash.keep_one(docs, width=3)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
-    ("near_copies", drop_near_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("suffix_dedup", remove_repeats),
     ("packing", pack),
 ]
