@@ -46,6 +46,32 @@ def held_out(key: str, buckets: int, bucket: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(buckets)) == bucket, F.lit(False))
 
 
+def text_mark() -> Column:
+    """SHA-256 of the column ``text`` as it is; null is empty."""
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores added until none is among ``columns``."""
+    taken, found = {name.lower() for name in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (doc_id and the mark of the text), repeated rows once."""
+    names = fresh(docs.columns, "id", "no_id", "mark")
+    key = F.col("doc_id").cast("bigint")
+    keys = [F.coalesce(key, F.lit(0)), key.isNull()]
+    wanted = kept.select(*[made.alias(name) for made, name in zip([*keys, F.col("mark")], names)])
+    keyed = docs.withColumns(dict(zip(names, [*keys, text_mark()])))
+    return keyed.join(wanted, names, "left_semi").dropDuplicates(names).drop(*names)
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose sizes add up to ``most`` or less, one item at least."""
     begin = total = 0

@@ -24,22 +24,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.llm import golomb
-from crawlframe.llm.batches import mapped, only, partitions, run_starts, shard_of, utf8
+from crawlframe.llm.batches import mapped, only, partitions, rows_of, run_starts, shard_of, utf8
 from crawlframe.llm.components import stored
 
-PRINT = "doc_id long, print long, text_sha256 string"
+PRINT = "doc_id long, mark string, print long, text_sha256 string"
 
 
 def fingerprints(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, print (XXH64 of the normalised text), its SHA-256 and, where asked for, the text itself in UTF-8."""
+    """doc_id, SHA-256 of the text as it is, print (XXH64 of the normalised text), its SHA-256 and, where asked for, that text in UTF-8."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text.lower() for text in utf8(batch.column("text"))]
+            given = utf8(batch.column("text"))
+            texts = [text.lower() for text in given]
+            digests = [hashlib.sha256(text).hexdigest() for text in texts]
+            marks = [digest if text == norm else hashlib.sha256(text).hexdigest() for text, norm, digest in zip(given, texts, digests)]
             made = {
                 "doc_id": batch.column("doc_id"),
+                "mark": pa.array(marks, pa.string()),
                 "print": pa.array(np.array([xxhash.xxh64_intdigest(text) for text in texts], np.uint64).astype(np.int64)),
-                "text_sha256": pa.array([hashlib.sha256(text).hexdigest() for text in texts], pa.string()),
+                "text_sha256": pa.array(digests, pa.string()),
             }
             if with_text:
                 made["norm"] = pa.array(texts, pa.binary())
@@ -113,12 +117,12 @@ def suspects(prints: DataFrame) -> DataFrame:
     return marked.applyInArrow(mark, f"{PRINT}, shard int, suspect boolean").drop("shard")
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, keep_id, group_size, kept and text_sha256 of every row."""
     prints = fingerprints(docs).withColumn("shard", shard_of("doc_id", partitions(docs.sparkSession)))
     marked = stored(suspects(stored(prints, "fingerprints")), "suspects")
     alone = marked.filter("NOT suspect").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
+        "doc_id", "mark", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
 
     wanted = marked.filter("suspect").select(F.col("doc_id").alias("id"), F.col("print").alias("p")).distinct()
@@ -129,21 +133,29 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     led = stored(stays, "leaders")
     leaders = texts.join(led, same).filter(F.col("doc_id").eqNullSafe(F.col("leader")))
     leaders = stored(leaders.select(*same, F.col("norm").alias("leader_text")).dropDuplicates(same), "leader-texts")
-    checked = texts.join(leaders, same).select("doc_id", *same, (F.col("norm") == F.col("leader_text")).alias("equal"))
+    checked = texts.join(leaders, same).select("doc_id", "mark", *same, (F.col("norm") == F.col("leader_text")).alias("equal"))
     checked = stored(checked, "verified")
     groups = checked.filter("equal").groupBy(*same).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     grouped = checked.filter("equal").join(stored(groups, "groups"), same)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
-    grouped = grouped.select("doc_id", "keep_id", "group_size", kept, "text_sha256")
+    grouped = grouped.select("doc_id", "mark", "keep_id", "group_size", kept, "text_sha256")
     # same digests, other bytes: such a row is a text of its own
     unlike = checked.filter("NOT equal").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
+        "doc_id", "mark", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
     return alone.unionByName(grouped).unionByName(unlike)
 
 
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
+    return judged(docs).drop("mark")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; repeated rows of one document are one."""
-    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """The rows that stay, with the columns of ``docs``.
+
+    Of equal texts under the kept doc_id the spelling of the smallest SHA-256
+    stays; repeated rows are one.
+    """
+    kept = judged(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.min("mark").alias("mark"))
+    return rows_of(docs, kept)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlframe.llm.batches import mapped, only, utf8
+from crawlframe.llm.batches import mapped, only, rows_of, text_mark, utf8
 from crawlframe.llm.components import connected_components, stored
 
 MOST, CROWD, SEED = 2, 64, 42
@@ -128,25 +128,31 @@ def links(prints: DataFrame) -> DataFrame:
     return near.unionByName(stars.select("a", F.col("print").alias("b")))
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 3) -> DataFrame:
-    """doc_id, print and component_id (smallest doc_id reachable) for every row."""
-    prints = stored(fingerprints(only(docs, doc_id="bigint", text="string"), "doc_id", width=width), "prints")
+def labelled(rows: DataFrame, *keys: str, width: int) -> DataFrame:
+    """``keys`` (doc_id among them), print, label (the same for all that link) and component_id for every row."""
+    prints = stored(fingerprints(rows, *keys, width=width), "prints")
     distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
     labels = connected_components(links(distinct.select("print")))
     nodes = distinct.join(labels.withColumnRenamed("node", "print"), "print", "left")
     nodes = stored(nodes.select("print", "first", F.coalesce("component", "print").alias("label")), "nodes")
     least = stored(nodes.groupBy("label").agg(F.min("first").alias("component_id")), "components")
-    classes = stored(nodes.join(least, "label").select("print", "component_id"), "classes")
-    return prints.join(classes, "print").select("doc_id", "print", "component_id")
+    classes = stored(nodes.join(least, "label").select("print", "label", "component_id"), "classes")
+    return prints.join(classes, "print").select(*keys, "print", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, *, width: int = 3) -> DataFrame:
+    """doc_id, print and component_id (smallest doc_id reachable) for every row."""
+    return labelled(only(docs, doc_id="bigint", text="string"), "doc_id", width=width).drop("label")
 
 
 def keep_one(docs: DataFrame, *, width: int = 3) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id.
+    """One document of each group of near-duplicates: that of the smallest doc_id, with the columns of ``docs``.
 
-    Rows that share doc_id and text are one.  Rows without an id stay if one of
-    them has no near-duplicate with an id.
+    Of several texts in a group under that doc_id the one of the smallest
+    SHA-256 stays.  Repeated rows are one.  Rows without an id stay if none of
+    their group has an id.
     """
-    groups = near_duplicates(docs, width=width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = groups.select("doc_id").distinct()
-    rows = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rows = only(docs, doc_id="bigint", text="string").withColumn("mark", text_mark())
+    first = labelled(rows, "doc_id", "mark", width=width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = stored(first.groupBy("label").agg(F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark")), "kept")
+    return rows_of(docs, kept)

@@ -115,6 +115,21 @@ def test_exact_keep_one(docs):
     assert exact_dedup.keep_one(docs).columns == docs.columns
 
 
+ODD_COLUMNS = "doc_id long, text string, `a.b` string, __kept int, __shard int, mark string, id int"
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(1, "x y"), (1, "other text"), (2, "X y"), (3, "lone"), (3, "lone"), (None, None), (4, "")]
+    docs = spark.createDataFrame([(*row, "p", 1, 2, "m", 3) for row in rows], ODD_COLUMNS)
+    for keep_one, wanted in (
+        (exact_dedup.keep_one, [(1, "other text"), (2, "X y"), (3, "lone"), (4, "")]),
+        (simhash.keep_one, [(1, "other text"), (1, "x y"), (3, "lone"), (4, "")]),
+    ):
+        left = keep_one(docs)
+        assert left.columns == docs.columns
+        assert sorted((row.doc_id, row.text) for row in left.collect()) == wanted
+
+
 # repeated passages
 
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import random
 from collections import defaultdict
 
 import corpus_pipeline
-from crawlframe.llm import language_id, near_copies
+from crawlframe.llm import language_id
 from tests.llm.test_operators import SF, documents, linked, own_print
 
 
@@ -38,7 +37,7 @@ def test_stages_by_brute_force(spark):
     for key, text in texts.items():
         groups[text.encode().lower()].append(key)
     texts = {max(keys): texts[max(keys)] for keys in groups.values()}
-    prints = {key: own_print(text, 5) for key, text in texts.items()}
+    prints = {key: own_print(text, 3) for key, text in texts.items()}
     root, least = linked(set(prints.values())), {}
     for key in sorted(texts):
         least.setdefault(root[prints[key]], key)
@@ -64,52 +63,3 @@ def test_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.collect()
-
-
-def test_near_copies_by_brute_force(spark, monkeypatch):
-    rng = random.Random(8)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    texts = {0: None, 1: "", 2: "a b", 3: "A  b"}
-    for _ in range(12):
-        base = [word() for _ in range(rng.choice([40, 120, 300]))]
-        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
-            texts[len(texts)] = " ".join(word() if rng.random() < share else w for w in base)
-    base = [word() for _ in range(150)]
-    for k in range(40):  # one group whose members differ from each other more than from the first
-        texts[len(texts)] = " ".join(word() if k and at in (3 * k, 3 * k + 1) else w for at, w in enumerate(base))
-
-    def shingles(text):
-        words = (text or "").lower().split()
-        return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
-
-    sets, root = {key: shingles(text) for key, text in texts.items()}, {key: key for key in texts}
-    far = 0
-    for a in texts:
-        for b in range(a):
-            both = len(sets[a] | sets[b])
-            if 5 * len(sets[a] & sets[b]) >= 4 * both:
-                far += (own_print(texts[a], 5) ^ own_print(texts[b], 5)).bit_count() > 2
-                low, high = sorted((root[a], root[b]))
-                root = {key: low if value == high else value for key, value in root.items()}
-    assert far > 50  # the 2 bits of op6_simhash do not reach these
-    frame = spark.createDataFrame([(key, text, None, None, 0) for key, text in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
-    for crowd in (64, 3):
-        monkeypatch.setattr(near_copies, "CROWD", crowd)
-        assert {row.doc_id: row.component_id for row in near_copies.near_duplicates(frame).collect()} == root
-        assert sorted(row.doc_id for row in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()) == sorted(set(root.values()))
-
-
-def test_near_copies_of_documents(spark):
-    docs = documents(spark)
-    sets = {}
-    for row in docs.collect():
-        words = (row.text or "").encode().lower().split()
-        sets[row.doc_id] = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
-    root = {key: key for key in sets}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            if b < a and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                low, high = sorted((root[a], root[b]))
-                root = {key: low if value == high else value for key, value in root.items()}
-    found = {row.doc_id: row.component_id for row in near_copies.near_duplicates(docs).collect()}
-    assert found == root and len(set(root.values())) < len(root)
