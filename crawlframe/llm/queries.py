@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe.llm import (
+    centroids,
     exact_dedup,
     html_text,
     language_id,
+    line_dedup,
     packing,
+    resampling,
     sentencepiece_codec,
     simhash,
     suffix_dedup,
@@ -121,6 +124,76 @@ SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, v.vec_id = c
 FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
 """
 
+
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2)
+
+
+def centroid_sql(k: int, rounds: int) -> str:
+    """Every round as two steps: the nearest centroid of each vector, then the floored means."""
+    steps = [
+        """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS BIGINT) AS cl, e AS c
+  FROM v QUALIFY cl < """
+        + f"{k}\n)"
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f""", d{turn} AS (
+  SELECT vec_id, e, cl, CAST(list_sum(list_transform(list_zip(e, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+  FROM v CROSS JOIN c{turn}
+), a{turn} AS MATERIALIZED (
+  SELECT vec_id, e, min(d * {k} + cl) AS m FROM d{turn} GROUP BY vec_id, e
+)""")
+        if turn < rounds:
+            steps.append(f""", x{turn} AS (
+  SELECT m % {k} AS cl, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM a{turn}
+), s{turn} AS (
+  SELECT cl, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x{turn} GROUP BY cl, i
+), u{turn} AS (
+  SELECT cl, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{turn} GROUP BY cl
+), c{turn + 1} AS MATERIALIZED (
+  SELECT p.cl, coalesce(u.c, p.c) AS c FROM c{turn} p LEFT JOIN u{turn} u ON u.cl = p.cl
+)""")
+    return "".join(steps) + f"""
+SELECT a.vec_id, CAST(p.cl AS INTEGER) AS cluster, CAST(a.m // {k} AS BIGINT) AS distance,
+  CAST(sum(a.m // {k}) OVER (PARTITION BY p.cl) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.m // {k}) OVER () AS BIGINT) AS inertia, sha256(array_to_string(p.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} p ON p.cl = a.m % {k}
+"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+OP12 = """
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d
+), k AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l
+), n AS (
+  SELECT *, translate(bare, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM k
+), f AS (
+  SELECT *, CASE WHEN length(bare) >= 10 THEN min(doc_id) OVER (PARTITION BY norm) < doc_id ELSE FALSE END AS gone FROM n
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id
+"""
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, goal = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(documents, goal, percent=10, buckets=10_000, grams=1, min_words=20, seed=2024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -134,6 +207,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_packing,
         op10_vector_dedup,
+        op11_centroids,
+        op12_line_dedup,
+        op13_resampling,
     )
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3, "op10_vector_dedup": OP10}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": OP3,
+    "op10_vector_dedup": OP10,
+    "op11_centroids": centroid_sql(40, 5),
+    "op12_line_dedup": OP12,
+}
