@@ -26,7 +26,7 @@ from crawlframe.profile import (
     SiteProfile,
 )
 
-_ELEMENT = pa.struct(
+ELEMENT = pa.struct(
     [
         ("selector", pa.string()),
         ("pos", pa.int64()),
@@ -35,7 +35,7 @@ _ELEMENT = pa.struct(
         ("text", pa.string()),
     ]
 )
-_ELEMENTS = (
+ELEMENTS = (
     "array<struct<selector: string, pos: bigint, tag: string,"
     " attrs: map<string, string>, text: string>>"
 )
@@ -59,11 +59,11 @@ def with_elements(
                 for html in (cell.as_py() for cell in batch.column(1))
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(_ELEMENT))], names=[page, "elements"]
+                [batch.column(0), pa.array(found, pa.list_(ELEMENT))], names=[page, "elements"]
             )
 
     kind = pages.schema[page].dataType.simpleString()
-    return pages.select(page, html).mapInArrow(parse, f"`{page}` {kind}, elements {_ELEMENTS}")
+    return pages.select(page, html).mapInArrow(parse, f"`{page}` {kind}, elements {ELEMENTS}")
 
 
 def matching(name: str) -> Column:

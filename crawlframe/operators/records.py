@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.functions.content import decode_page
 from crawlframe.functions.headers import warcinfo_entries, warcinfo_fields, warcinfo_map
-from crawlframe.operators.pages import STATUS_SELECTORS, page_status_of, with_elements
+from crawlframe.functions.markup import find_elements, plan_selectors
+from crawlframe.operators.pages import ELEMENT, ELEMENTS, STATUS_SELECTORS, page_status_of
 from crawlframe.profile import SiteProfile
 from crawlframe.sources.archives import with_records
+from crawlframe.sources.warc_format import DAMAGE, iter_records, payload_or_none, plain_bytes
+from crawlframe.sources.warc_source import read_ranges
 
 WARCINFO, RESPONSE = "warcinfo", "response"
+# Page texts go back to Spark in batches of about this many characters.
+_OUTPUT_CHARS = 8 << 20
 
 
 def is_warcinfo(record: Column) -> Column:
@@ -85,6 +93,46 @@ def parse_archives(files: DataFrame, profile: SiteProfile = SiteProfile()) -> Da
     )
 
 
+PageOf = Callable[[pa.RecordBatch], Iterator[tuple[str, str | None, bytes | None, int]]]
+
+
+def _judged(
+    rows: DataFrame, pages: PageOf, cloudflare: str | None, maintenance: str | None
+) -> DataFrame:
+    """``path, sha512, submission_status, n_read`` of the main pages that ``pages`` finds in a batch.
+
+    One Python pass: page bytes are found, unpacked and matched where they
+    are; only matched elements, and the text where a pattern asks for it, come back.
+    """
+    plan, with_text = plan_selectors(STATUS_SELECTORS), bool(cloudflare or maintenance)
+    kinds = pa.schema(
+        [("path", pa.string()), ("sha512", pa.string()), ("n_read", pa.int64()), ("html", pa.string()), ("elements", pa.list_(ELEMENT))]
+    )
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, held = [], 0
+            for path, digest, page, size in pages(batch):
+                html = None if page is None else page.decode("utf-8", "backslashreplace")
+                elements = None if html is None else find_elements(html, plan)
+                found.append({"path": path, "sha512": digest, "n_read": size, "html": html if with_text else None, "elements": elements})
+                held += len(html or "") if with_text else 0
+                if held > _OUTPUT_CHARS:
+                    yield pa.RecordBatch.from_pylist(found, schema=kinds)
+                    found, held = [], 0
+            yield pa.RecordBatch.from_pylist(found, schema=kinds)
+
+    parsed = rows.mapInArrow(judge, f"path string, sha512 string, n_read long, html string, elements {ELEMENTS}")
+    state, text = page_status_of(), F.col("html")
+    verdict = F.when(F.col("elements").isNull(), "unknown")
+    if cloudflare:
+        verdict = verdict.when(text.rlike(cloudflare), "cloudflare")
+    if maintenance:
+        verdict = verdict.when(text.rlike(maintenance), "maintenance")
+    verdict = verdict.when(state.isin("deleted", "gdpr_deleted"), "deleted").otherwise("present")
+    return parsed.select("path", "sha512", verdict.alias("submission_status"), "n_read")
+
+
 def hole_verdict(
     files: DataFrame,
     profile: SiteProfile = SiteProfile(),
@@ -98,22 +146,41 @@ def hole_verdict(
     caller's patterns (tested first; there are no default ones); else
     ``present``.
     """
-    archives = parse_archives(files, profile).select(
-        "path", "sha512", decode_page(F.col("page_bytes")).alias("html")
-    )
-    text = F.col("html")
-    marker = F.lit(None).cast("string")
-    if maintenance:
-        marker = F.when(text.rlike(maintenance), "maintenance").otherwise(marker)
-    if cloudflare:
-        marker = F.when(text.rlike(cloudflare), "cloudflare").otherwise(marker)
-    marked = archives.select(F.struct("path", "sha512", marker.alias("marker")).alias("file"), "html")
-    parsed = with_elements(marked, STATUS_SELECTORS, "file", "html")
-    state = page_status_of()
-    verdict = (
-        F.when(F.col("elements").isNull(), "unknown")
-        .when(F.col("file.marker").isNotNull(), F.col("file.marker"))
-        .when(state.isin("deleted", "gdpr_deleted"), "deleted")
-        .otherwise("present")
-    )
-    return parsed.select("file.path", "file.sha512", verdict.alias("submission_status"))
+    address = re.compile(profile.main_page_pattern)
+
+    def pages(batch: pa.RecordBatch) -> Iterator[tuple[str, str | None, bytes | None, int]]:
+        for path, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            stored = blob.as_py() or b""
+            page = None
+            try:
+                data = plain_bytes(stored)
+                for _, headers, start, length in iter_records(data):
+                    if headers.get("warc-type") == RESPONSE and address.match(headers.get("warc-target-uri", "")):
+                        page = payload_or_none(data[start : start + length])
+                        break
+            except DAMAGE:
+                pass
+            yield path, hashlib.sha512(stored).hexdigest(), page, len(stored)
+
+    return _judged(files.select("path", "content"), pages, cloudflare, maintenance).drop("n_read")
+
+
+def indexed_verdict(
+    index: DataFrame,
+    profile: SiteProfile = SiteProfile(),
+    cloudflare: str | None = None,
+    maintenance: str | None = None,
+) -> DataFrame:
+    """:func:`hole_verdict` of the archives of an index, with ``n_read``.
+
+    The main page is chosen in the index; of each archive nothing but that
+    record's byte range is opened.
+    """
+    main = first_record(lambda record: is_main_response(record, profile))
+
+    def pages(batch: pa.RecordBatch) -> Iterator[tuple[str, str | None, bytes | None, int]]:
+        for path, digest, record in zip(*(column.to_pylist() for column in batch.columns)):
+            (block,), size = read_ranges(path, [record])
+            yield path, digest, None if block is None else payload_or_none(block), size
+
+    return _judged(index.select("path", "sha512", main.alias("record")), pages, cloudflare, maintenance)

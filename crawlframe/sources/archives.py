@@ -45,14 +45,6 @@ _LISTED_ROWS = 10_000
 _OUTPUT_BYTES = 16 * 1024**2
 
 
-def hash_folders(spark: SparkSession, root: str, digits: int = 3) -> DataFrame:
-    """``root`` column: the folders that hash prefixes of blobs name, existing or not."""
-    name = F.lower(F.lpad(F.hex("id"), digits, "0"))
-    return spark.range(16**digits).select(
-        F.concat(F.lit(root.rstrip("/") + "/"), name).alias("root")
-    )
-
-
 def walk_tree(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
     """``path, length, modified`` of every file below ``root``, whatever the layout and the names.
 
@@ -142,19 +134,6 @@ def read_listed_files(listing: DataFrame, tasks: int) -> DataFrame:
     )
 
 
-def read_archive_files(spark: SparkSession, *roots: str, glob: str | None = None) -> DataFrame:
-    """``path, length, modificationTime, content`` of files below the roots, by Spark's own reader.
-
-    ``content`` is read only where a query uses it.  Spark skips empty files
-    and names that start with ``_`` or ``.``, and its driver holds the
-    listing; :func:`list_files` has neither limit.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(list(roots))
-
-
 def dir_manifest(files: DataFrame, run_id: int) -> DataFrame:
     """One ``todo`` audit row per file, from metadata alone."""
     return files.select(

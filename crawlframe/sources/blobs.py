@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,9 +28,10 @@ def export_blobs(content: DataFrame, root: str) -> DataFrame:
     """Write each blob to ``<root>/<sha[0:3]>/<name>`` and return receipts.
 
     Tasks write straight to the file system of ``root`` (any URI that Arrow
-    opens, such as ``hdfs://`` or ``s3://``).  Files are written when the receipts
-    ``content_id, file, n_bytes`` are; a task that runs again writes the same
-    bytes to the same names.
+    opens, such as ``hdfs://`` or ``s3://``), each file under a name of its own
+    that is moved to the final one when the file is whole.  Files are written
+    when the receipts ``content_id, file, n_bytes`` are; a task that runs again
+    writes the same bytes to the same names.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,8 +45,10 @@ def export_blobs(content: DataFrame, root: str) -> DataFrame:
                 if folder not in made:
                     files.create_dir(folder, recursive=True)
                     made.add(folder)
-                with files.open_output_stream(target) as out:
+                part = f"{folder}/.{uuid.uuid4().hex}.part"
+                with files.open_output_stream(part, compression=None) as out:
                     out.write(blob.as_buffer())
+                files.move(part, target)  # whole or not there
                 sizes.append(len(blob.as_buffer()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64())],

@@ -125,11 +125,12 @@ def test_audit_from_a_folder(spark, tmp_path):
     assert left == [r for r in rows if r.file_path.endswith("_two.warc")]
 
 
-def test_hash_folders_and_uris(spark, tmp_path):
+def test_folders_and_uris(spark, tmp_path):
     for name in ("abc/x", "00f/y", "zzz/no"):
         (tmp_path / name).parent.mkdir()
         (tmp_path / name).write_text(name)
-    listed = A.list_files(A.hash_folders(spark, f"file://{tmp_path}"))
+    folders = [(f"file://{tmp_path}/{name}",) for name in ("abc", "00f", "none")]
+    listed = A.list_files(spark.createDataFrame(folders, "root string"))
     rows = A.dir_manifest(listed, 1).collect()
     assert {r.file_path for r in rows} == {str(tmp_path / "abc/x"), str(tmp_path / "00f/y")}
     assert {bytes(r.content) for r in A.read_listed_files(listed, 2).collect()} == {b"abc/x", b"00f/y"}
@@ -147,15 +148,6 @@ def test_walk_finds_every_file(spark, tmp_path):
         assert len(rows) == len(names)
 
 
-def test_spark_reader_skips_empty_files(spark, tmp_path):
-    (tmp_path / "one.warc").write_bytes(archive(b"<p>"))
-    (tmp_path / "two.warc").write_bytes(b"")
-    (tmp_path / "note.txt").write_text("x")
-    listed = A.read_archive_files(spark, str(tmp_path), glob="*.warc")
-    rows = A.dir_manifest(listed, 9).collect()
-    assert [r.file_path for r in rows] == [str(tmp_path / "one.warc")]
-
-
 def test_first_record(spark):
     rows = spark.createDataFrame(
         [("f", 30, "b"), ("f", 10, "a"), ("f", 20, "b"), ("g", 5, "a"), ("h", 1, None)],

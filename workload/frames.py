@@ -5,13 +5,19 @@
 
 from __future__ import annotations
 
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe.functions.urls import submission_url, worker_identity
 from crawlframe.operators.links import hrefs, link_users, page_links
 from crawlframe.profile import DELETED_TEXT, GDPR_BODY_ID, SiteProfile
-from crawlframe.session import spread_scan
+from crawlframe.session import scratch_path, spread_scan
+from crawlframe.sources.warc_format import iter_records
 
 PROFILE = SiteProfile()
 # The users linked by the given pages have no folder of their own.
@@ -256,6 +262,41 @@ def warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PAGES_PER_ARCHIVE = 40
+
+
+def archive_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of archives of :data:`PAGES_PER_ARCHIVE` pages each, written by the tasks.
+
+    Every second one is stored with a gzip member per record.
+    """
+    root = scratch_path(spark, "archives")
+    number = F.expr(f"page_id div {PAGES_PER_ARCHIVE}")
+    pages = warc_files(spark, sf_dir).select(
+        F.regexp_extract("path", "([0-9]+)", 1).cast("long").alias("page_id"), "content"
+    )
+    joined = pages.groupBy(number.alias("number")).agg(
+        F.expr("listagg(content) WITHIN GROUP (ORDER BY page_id)").alias("content")
+    )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            system.create_dir(base, recursive=True)
+            for one, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = f"{one}.warc"
+                if one % 2:
+                    begins = [at for at, _, _, _ in iter_records(content)] + [len(content)]
+                    content = b"".join(gzip.compress(content[a:b], 1) for a, b in zip(begins, begins[1:]))
+                    name += ".gz"
+                with system.open_output_stream(f"{base}/{name}", compression=None) as out:
+                    out.write(content)
+            yield batch.select(["number"])
+
+    joined.mapInArrow(write, "number long").write.format("noop").mode("overwrite").save()
+    return root
+
+
 _NAME = r"[a-zA-Z0-9_\-~.`\[\]^]+"
 
 # The same tables for the oracle.

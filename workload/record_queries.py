@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crawlframe.operators import records as R
-from crawlframe.plans.audit import audit_archives
+from crawlframe.plans.audit import audit_archives, audit_pending
 from crawlframe.session import scratch_path
-from crawlframe.sources import archives
+from crawlframe.sources import archives, warc_source
 from workload import frames
 from workload.frames import PROFILE
 from workload.registry import query
@@ -231,3 +231,100 @@ def audit(spark, d):
     pattern = '(?s)pageid-item.*lang="fr"'
     rows = audit_archives(frames.warc_files(spark, d), 3, PROFILE, maintenance=pattern)
     return rows.select("run_id", "processed_status", "file_path", "submission_status")
+
+
+NAME = "regexp_extract(path, '([^/]*)$', 1)"
+PER = frames.PAGES_PER_ARCHIVE
+STORED_NAME = f"(page_id // {PER}) || '.warc' || CASE WHEN (page_id // {PER}) % 2 = 1 THEN '.gz' ELSE '' END"
+
+
+def _file_name(path="path"):
+    return F.regexp_extract(path, "([^/]*)$", 1)
+
+
+@query(
+    "warc_source",
+    f"""
+    SELECT {STORED_NAME} AS file, '<urn:response:' || page_id || '>' AS warc_record_id, {VIEW} AS warc_target_uri,
+           CAST(0 AS INTEGER) AS chunk
+    FROM pages WHERE page_id % 10 <> 0""",
+)
+def responses(spark, d):
+    """Item pages of stored archives, by the data source: type and address are tested in the reader."""
+    rows = warc_source.read_archives(
+        spark, frames.archive_folder(spark, d), "path string, warc_record_id string, warc_type string, warc_target_uri string, chunk int"
+    )
+    pages = rows.filter((F.col("warc_type") == "response") & F.col("warc_target_uri").startswith("https://www.gallery.example/view/"))
+    return pages.select(_file_name().alias("file"), "warc_record_id", "warc_target_uri", "chunk")
+
+
+def _index(spark, d):
+    """The index of stored archives, kept as a table: it is used more than once."""
+    root, path = frames.archive_folder(spark, d), scratch_path(spark, "archive-index")
+    made = warc_source.archive_index(archives.walk_tree(spark, root), spark.sparkContext.defaultParallelism)
+    made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+@query(
+    "archive_index",
+    f"""
+    SELECT {STORED_NAME} AS file, CAST(sum(3) AS BIGINT) AS n_records, min(page_id) AS first_page, max(page_id) AS last_page,
+           CAST(count(*) FILTER (WHERE page_id % 10 <> 0) AS BIGINT) AS n_main
+    FROM pages GROUP BY ALL""",
+)
+def index_of_archives(spark, d):
+    """Per stored archive: records, the pages of its first and last one, main responses."""
+    number = F.regexp_extract(F.col("record.warc_record_id"), "([0-9]+)", 1).cast("long")
+    main = R.is_main_response(F.col("record"), PROFILE)
+    rows = _index(spark, d).select(_file_name().alias("file"), F.explode("records").alias("record"))
+    return rows.groupBy("file").agg(
+        F.count("*").alias("n_records"),
+        F.min(number).alias("first_page"),
+        F.max(number).alias("last_page"),
+        F.count_if(main).alias("n_main"),
+    )
+
+
+@query(
+    "record_bodies",
+    f"""
+    SELECT {STORED_NAME} AS file, page_id, sha256({INFO}) AS info_sha256 FROM pages WHERE page_id % 7 = 3""",
+)
+def bodies(spark, d):
+    """Header records of some pages, fetched by their byte ranges alone."""
+    rows = _index(spark, d).select("path", F.explode("records").alias("record")).filter(R.is_warcinfo(F.col("record")))
+    number = F.regexp_extract(F.col("record.warc_record_id"), "([0-9]+)", 1).cast("long")
+    fetched = warc_source.record_bodies(rows.withColumn("page_id", number).filter("page_id % 7 = 3"))
+    return fetched.select(_file_name().alias("file"), "page_id", F.sha2("block", 256).alias("info_sha256"))
+
+
+STORED_VERDICT = f"""
+    stored_verdict AS (
+      SELECT {STORED_NAME} AS file,
+             coalesce(arg_min({VERDICT}, page_id) FILTER (WHERE page_id % 10 <> 0), 'unknown') AS submission_status
+      FROM pages GROUP BY ALL)"""
+
+
+@query("indexed_verdict", f"WITH {STORED_VERDICT} SELECT file, submission_status FROM stored_verdict")
+def verdict_by_ranges(spark, d):
+    rows = R.indexed_verdict(_index(spark, d), PROFILE)
+    return rows.select(_file_name().alias("file"), "submission_status")
+
+
+@query(
+    "audit_pending",
+    f"""
+    WITH {STORED_VERDICT}
+    SELECT CAST(8 AS BIGINT) AS run_id, 'finished' AS processed_status, file, submission_status
+    FROM stored_verdict WHERE CAST(string_split(file, '.')[1] AS BIGINT) % 3 <> 0""",
+)
+def audit_of_a_manifest(spark, d):
+    """The second half of a run: every third archive is finished already and stays closed."""
+    listing = archives.walk_tree(spark, frames.archive_folder(spark, d))
+    number = F.regexp_extract("file_path", "([0-9]+)[^/]*$", 1).cast("long")
+    manifest = archives.dir_manifest(listing, 8).withColumn(
+        "processed_status", F.when(number % 3 == 0, "finished").otherwise("todo")
+    )
+    rows = audit_pending(manifest, 8, spark.sparkContext.defaultParallelism, PROFILE)
+    return rows.select("run_id", "processed_status", _file_name("file_path").alias("file"), "submission_status")
