@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,14 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a column of text or bytes takes ``most`` bytes in each, or is one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for a, b in slices(sizes, most):
+            yield batch.slice(a, b - a)
+
+
 def utf8(texts) -> list[bytes]:
     """The texts of an Arrow string column as bytes; null is empty."""
     return [b"" if text is None else text.encode() for text in texts.to_pylist()]

@@ -71,13 +71,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("before"))
-    model = tokenizer_path(PIECES)
-    encoded = sentencepiece_codec.encode_documents(docs, "doc_id", "before", model=model)
-    n_ids = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    encoded = encoded.select("doc_id", "before", n_ids, F.crc32("ids").alias("ids_crc32"), "ids")
-    decoded = sentencepiece_codec.decode_documents(encoded, "doc_id", "before", "n_tokens", "ids_crc32", model=model)
-    return decoded.select("doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("before")).alias("round_trip"))
+    return sentencepiece_codec.round_trips(table(spark, sf_dir, "documents"), "doc_id", model=tokenizer_path(PIECES))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +128,9 @@ def centroid_sql(k: int, rounds: int) -> str:
     steps = [
         """
 WITH v AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), c0 AS MATERIALIZED (
   SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS BIGINT) AS cl, e AS c
   FROM v QUALIFY cl < """
@@ -144,7 +138,7 @@ WITH v AS MATERIALIZED (
     ]
     for turn in range(rounds + 1):
         steps.append(f""", d{turn} AS (
-  SELECT vec_id, e, cl, CAST(list_sum(list_transform(list_zip(e, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+  SELECT vec_id, e, cl, CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(e, c)]) AS BIGINT) AS d
   FROM v CROSS JOIN c{turn}
 ), a{turn} AS MATERIALIZED (
   SELECT vec_id, e, min(d * {k} + cl) AS m FROM d{turn} GROUP BY vec_id, e

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -28,15 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+from tokenizers import Encoding, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from crawlframe.llm.batches import mapped, slices
+from crawlframe.llm.batches import mapped, slices, small
 
 MARK = "▁"
 #: Fixed values of the model format: kinds of model and of piece.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KEPT_WORDS, KEPT_CHARS, TOGETHER = 400_000, 48, 2000
+KEPT_WORDS, KEPT_CHARS, TOGETHER, AT_ONCE = 300_000, 48, 2000, 8
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -160,8 +161,16 @@ class PieceCodec:
         return MARK + text if text and self.model.dummy_prefix else text
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+        out: list[bytes] = []
+        for a, b in slices(list(map(len, texts)), 100_000):
+            found = self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)
+            out.extend(np.array(one.ids, "<u4").tobytes() for one in found)
+        return out
+
+    def together(self, parts: list[list[str]]) -> Iterator[Encoding]:
+        """The parts as encoded by the library, a few in one call: what it returns is many times the text."""
+        for at in range(0, len(parts), AT_ONCE):
+            yield from self.tokenizer.encode_batch_fast(list(map("".join, parts[at : at + AT_ONCE])), add_special_tokens=False)
 
     def of_words(self, words: list[str]) -> list[bytes]:
         """Ids of words, many encoded together: a piece that begins with the marker begins a word."""
@@ -169,7 +178,7 @@ class PieceCodec:
         found = dict(zip(alone, self.raw(alone)))
         marked = [word for word in words if word not in found]
         parts = [marked[at : at + TOGETHER] for at in range(0, len(marked), TOGETHER)]
-        for part, one in zip(parts, self.tokenizer.encode_batch_fast(list(map("".join, parts)), add_special_tokens=False)):
+        for part, one in zip(parts, self.together(parts)):
             ids = np.array(one.ids, "<u4")
             starts = (4 * np.flatnonzero(self.begins[ids])).tolist()
             if len(starts) == len(part):
@@ -224,7 +233,7 @@ def encode_documents(docs: DataFrame, *keys: str, model: str) -> DataFrame:
     kinds = dict(docs.dtypes)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "__text"):
             ids = codec(model).encode(batch.column("__text").to_pylist())
             yield batch.drop_columns(["__text"]).append_column("ids", pa.array(ids, pa.binary()))
 
@@ -238,7 +247,7 @@ def decode_documents(encoded: DataFrame, *keys: str, model: str) -> DataFrame:
     kinds = dict(encoded.dtypes)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "ids"):
             texts = codec(model).decode([ids or b"" for ids in batch.column("ids").to_pylist()])
             yield batch.drop_columns(["ids"]).append_column("text", pa.array(texts, pa.string()))
 
@@ -246,6 +255,24 @@ def decode_documents(encoded: DataFrame, *keys: str, model: str) -> DataFrame:
     return mapped(encoded.select(*keys, "ids"), decode, f"{schema}, text string")
 
 
+def round_trips(docs: DataFrame, *keys: str, model: str) -> DataFrame:
+    """``keys`` (columns of ``docs``) with n_tokens, ids_crc32 and round_trip: whether the ids spell the text again (null: the empty one)."""
+    kinds = dict(docs.dtypes)
+
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, "__text"):
+            texts = [text or "" for text in batch.column("__text").to_pylist()]
+            ids = codec(model).encode(texts)
+            made = batch.drop_columns(["__text"])
+            made = made.append_column("n_tokens", pa.array([len(one) // 4 for one in ids], pa.int64()))
+            made = made.append_column("ids_crc32", pa.array(map(zlib.crc32, ids), pa.int64()))
+            yield made.append_column("round_trip", pa.array(map(str.__eq__, codec(model).decode(ids), texts), pa.bool_()))
+
+    schema = ", ".join(f"`{key}` {kinds[key]}" for key in keys)
+    rows = docs.select(*keys, F.col("text").cast("string").alias("__text"))
+    return mapped(rows, there_and_back, f"{schema}, n_tokens long, ids_crc32 long, round_trip boolean")
+
+
 def parity(texts: list[str], model: str) -> list[int]:
     """Positions of the texts whose ids differ from those of the sentencepiece library."""
     import sentencepiece
