@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crawlframe.operators import id_sets
 from crawlframe.schemas import SITE_ID
 
 
@@ -55,12 +56,13 @@ def fill_ranges(ranges: DataFrame, ids_per_slice: int = 1_000_000) -> DataFrame:
 
 
 def missing_ids(ids: DataFrame, lo: int, hi: int, column: str = "id") -> DataFrame:
-    """Ids of ``lo..hi`` without a row."""
-    present = ids.select(F.col(column).cast("long").alias("id")).filter(
-        F.col("id").between(lo, hi)
-    )
-    expected = ids.sparkSession.range(lo, hi + 1)
-    return expected.join(present.distinct(), "id", "left_anti")
+    """Ids of ``lo..hi`` without a row.
+
+    Through a set of bitmaps: one per bucket of ids is shuffled, and of the
+    expected range its bucket numbers alone.
+    """
+    number = F.col(column).cast("long")
+    return id_sets.missing_ids(id_sets.id_set(ids.filter(number.between(lo, hi)), column), lo, hi)
 
 
 def id_bounds(ids: DataFrame, column: str = "id") -> tuple[int, int] | None:

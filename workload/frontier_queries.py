@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.functions.urls import (
@@ -10,9 +13,10 @@ from crawlframe.functions.urls import (
     username_from_url,
     view_id_from_href,
 )
-from crawlframe.operators import frontier, links, names
+from crawlframe.operators import frontier, id_sets, links, names
 from crawlframe.plans.catch_up import catch_up_messages
 from crawlframe.plans.discovery import discover_link_users
+from crawlframe.session import scratch_path
 from crawlframe.sources.queue import publish_ids
 from workload import frames
 from workload.frames import ACCEPTED, ID_IN_URL, ROOT_USERS, with_tables
@@ -309,3 +313,53 @@ def lookup(spark, d):
             F.lit(None).cast("long").alias("submission_id"),
         )
     )
+
+
+DAYS = """
+    seen AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_returnflag = 'R'),
+    shipped AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_linestatus = 'F')"""
+
+
+def _stored_sets(spark, d):
+    """Two sets of ids kept as tables: of returned and of finished line items."""
+    lines, root = frames.table(spark, d, "lineitem"), scratch_path(spark, "id-sets")
+    for name, rows in (("seen", lines.filter("l_returnflag = 'R'")), ("shipped", lines.filter("l_linestatus = 'F'"))):
+        id_sets.id_set(rows, "l_orderkey").write.parquet(f"{root}/{name}")
+    return [spark.read.schema(id_sets.SET).parquet(f"{root}/{name}") for name in ("seen", "shipped")]
+
+
+@query(
+    "id_set_operations",
+    f"""
+    WITH {DAYS}
+    SELECT 'union' AS kind, count(*) AS n_ids, CAST(sum(id) AS BIGINT) AS id_sum FROM (SELECT id FROM seen UNION SELECT id FROM shipped)
+    UNION ALL SELECT 'both', count(*), CAST(sum(id) AS BIGINT) FROM (SELECT id FROM seen INTERSECT SELECT id FROM shipped)
+    UNION ALL SELECT 'without', count(*), CAST(sum(id) AS BIGINT) FROM (SELECT id FROM shipped EXCEPT SELECT id FROM seen)""",
+)
+def set_operations(spark, d):
+    """Stored id sets joined by OR, AND and AND NOT of their bitmaps."""
+    seen, shipped = _stored_sets(spark, d)
+    rows = [
+        ("union", id_sets.list_ids(id_sets.merge_sets(seen, shipped))),
+        ("both", id_sets.ids_in_both(seen, shipped)),
+        ("without", id_sets.ids_without(shipped, seen)),
+    ]
+    parts = [found.agg(F.lit(kind).alias("kind"), F.count("*").alias("n_ids"), F.sum("id").alias("id_sum")) for kind, found in rows]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "id_coverage",
+    f"""
+    WITH {DAYS}, b AS (SELECT CAST(unnest(range(0, (SELECT max(l_orderkey) // {id_sets.WIDTH} + 1 FROM lineitem))) AS BIGINT) AS bucket),
+    hi AS (SELECT max(l_orderkey) AS hi FROM lineitem)
+    SELECT bucket, greatest(bucket * {id_sets.WIDTH}, 5) AS first_id, least(bucket * {id_sets.WIDTH} + {id_sets.WIDTH - 1}, hi) AS last_id,
+           least(bucket * {id_sets.WIDTH} + {id_sets.WIDTH - 1}, hi) - greatest(bucket * {id_sets.WIDTH}, 5) + 1 AS n_expected,
+           (SELECT count(*) FROM seen WHERE id >= 5 AND id // {id_sets.WIDTH} = bucket) AS n_present
+    FROM b, hi""",
+)
+def coverage(spark, d):
+    """How full each bucket of a stored set is, from its bitmaps."""
+    seen, _ = _stored_sets(spark, d)
+    _, hi = frontier.id_bounds(frames.ids(spark, d))
+    return id_sets.bucket_coverage(seen, 5, hi)
