@@ -9,6 +9,7 @@ from crawlframe.operators.links import link_users, page_links
 from crawlframe.session import scratch_path
 from crawlframe.sources.queue import read_message_stream
 from crawlframe.streaming import attempts as S
+from crawlframe.streaming import claims as C
 from crawlframe.streaming.batches import read_batches
 from crawlframe.streaming.throughput import stream_sessions, stream_throughput
 from crawlframe.streaming.users import USER_COLUMNS, stream_insert_users
@@ -207,3 +208,50 @@ def sessions(spark, d):
     return rows.select(
         "claimed_by", time_text(F.col("session_start")).alias("session_start"), "n_attempts"
     )
+
+
+CLAIM_DAYS = 30
+CLAIM_LOG_SQL = f"""
+    orders_at AS (SELECT o_orderkey AS id, o_orderdate AS t FROM orders),
+    edge AS (SELECT max(CASE WHEN id % 5 = 0 THEN t + INTERVAL 45 DAY WHEN id % 3 = 0 THEN t + INTERVAL 10 DAY ELSE t END)
+                    - INTERVAL 12 HOUR AS edge FROM orders_at),
+    change AS (
+      SELECT id, 'new' AS action, t, 1 AS n_claims, 1 AS step FROM orders_at
+      UNION ALL SELECT id, 'finished', t + INTERVAL 10 DAY, 1, 2 FROM orders_at WHERE id % 3 = 0
+      UNION ALL SELECT id, 'expired', t + INTERVAL {CLAIM_DAYS} DAY, 1, 2 FROM orders_at, edge
+                WHERE id % 3 <> 0 AND (id % 5 = 0 OR t + INTERVAL {CLAIM_DAYS} DAY <= edge)
+      UNION ALL SELECT id, 'reuse', t + INTERVAL 45 DAY, 2, 3 FROM orders_at WHERE id % 3 <> 0 AND id % 5 = 0
+      UNION ALL SELECT id, 'expired', t + INTERVAL {45 + CLAIM_DAYS} DAY, 2, 4 FROM orders_at, edge
+                WHERE id % 3 <> 0 AND id % 5 = 0 AND t + INTERVAL {45 + CLAIM_DAYS} DAY <= edge)"""
+
+
+def claim_events(spark, d) -> DataFrame:
+    """A message per order, finished after ten days where the id is a multiple of 3; multiples of 5 are sent again after 45 days."""
+    moment = F.col("o_orderdate").cast("timestamp")
+    rows = stream_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.struct(F.lit("message").alias("kind"), moment.alias("ts")),
+                    F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.lit("finished").alias("kind"), F.expr("CAST(o_orderdate AS timestamp) + INTERVAL 10 DAYS").alias("ts"))),
+                    F.when(F.col("o_orderkey") % 5 == 0, F.struct(F.lit("message").alias("kind"), F.expr("CAST(o_orderdate AS timestamp) + INTERVAL 45 DAYS").alias("ts"))),
+                )
+            )
+        ).alias("event"),
+    )
+    return rows.select("id", "event.kind", "event.ts")
+
+
+@query(
+    "stream_claims",
+    f"WITH {CLAIM_LOG_SQL} SELECT id, action, {sql_time('t')} AS moment, n_claims, step FROM change",
+)
+def claims(spark, d):
+    """Claims with a deadline of 30 days: all changes, expired ones by timer or by the next event."""
+    root = scratch_path(spark, "claim-state")
+    C.stream_claims(
+        claim_events(spark, d), f"{root}/claim", f"{root}/check", CLAIM_DAYS * 86_400, "12 hours"
+    ).awaitTermination()
+    log = read_batches(spark, f"{root}/claim", C.CLAIM_LOG)
+    return log.select("id", "action", time_text(F.col("at")).alias("moment"), "n_claims", "step")
