@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.llm.batches import mapped, only
+from crawlframe.llm.batches import mapped, only, small
+from crawlframe.llm.components import stored
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS, STEM, CACHED = 22, 4, 300_000
@@ -121,20 +122,27 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_ter
 
     The classifier is fitted on a sample of about ``max_rows`` labelled rows,
     taken by a hash of doc_id, and on the ``max_terms`` terms of ``min_docs``
-    rows or more whose link with the label is clearest.
+    rows or more whose link with the label is clearest.  Of several labels of a
+    doc_id the largest counts, of several texts the one of the smallest terms.
     """
     spark = docs.sparkSession
-    marked = only(labels, doc_id="bigint", toxic="int").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").dropDuplicates(["doc_id"])
+    marked = only(labels, doc_id="bigint", toxic="int").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, max_rows / max(marked.count(), 1))
     cut = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    chosen = only(docs, doc_id="bigint", text="string").filter(cut).join(marked.filter(cut), "doc_id")
+    chosen = stored(marked.filter(cut), "sampled-labels")
+    if chosen.count() > 2 * max_rows + 1000:
+        raise ValueError("the hash of doc_id does not thin the labels")
+    # the bound of max_rows holds just now: the texts are filtered where they are read
+    chosen = only(docs, doc_id="bigint", text="string").filter(cut).join(F.broadcast(chosen), "doc_id")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text"):
             found = [sorted(text_terms(text)) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "terms": pa.array(found, pa.list_(pa.int32()))})
+            yield batch.drop_columns(["text"]).append_column("terms", pa.array(found, pa.list_(pa.int32())))
 
-    rows = mapped(chosen.select("text", "toxic"), terms, "toxic int, terms array<int>")
+    rows = mapped(chosen.select("doc_id", "toxic", "text"), terms, "doc_id long, toxic int, terms array<int>")
+    rows = stored(rows.groupBy("doc_id", "toxic").agg(F.min("terms").alias("terms")), "sampled-terms")
     totals = rows.groupBy("toxic").count().collect()
     ones = sum(row["count"] for row in totals if row["toxic"] == 1)
     every = sum(row["count"] for row in totals)
@@ -153,19 +161,11 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_ter
         .limit(max_terms)
     )
     picked = [row["term"] for row in best.collect()]
-    held = spark.sparkContext.broadcast(set(picked))  # max_terms numbers
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = held.value
-        for batch in batches:
-            found = [sorted(wanted & text_terms(text)) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "terms": pa.array(found, pa.list_(pa.int32()))}
-            )
-
-    fitted = mapped(chosen.select("doc_id", "text", "toxic"), pick, "doc_id long, toxic int, terms array<int>").toPandas()
+    known = F.broadcast(spark.createDataFrame([(term,) for term in picked], "known int"))  # max_terms rows
+    pairs = rows.select("doc_id", "toxic", F.explode_outer("terms").alias("term")).join(known, F.col("term") == F.col("known"), "left")
+    fitted = pairs.groupBy("doc_id", "toxic").agg(F.collect_list("known").alias("terms")).toPandas()
     fitted = fitted.sort_values("doc_id")  # the sums do not depend on the order of arrival
-    return fit([list(row) for row in fitted["terms"]], fitted["toxic"].tolist(), picked)
+    return fit([sorted(row) for row in fitted["terms"]], fitted["toxic"].tolist(), picked)
 
 
 def score(docs: DataFrame, model: FactorModel, *keys: str) -> DataFrame:
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: FactorModel, *keys: str) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = held.value
-        for batch in batches:
+        for batch in small(batches, "__text"):
             found = [learned.score(text) for text in batch.column("__text").to_pylist()]
             yield batch.drop_columns(["__text"]).append_column("score", pa.array(found, pa.float64()))
 
