@@ -16,7 +16,8 @@ from crawlframe.operators import content as C
 from crawlframe.plans.discovery import webpage_rows
 from crawlframe.plans.storage import content_rows
 from crawlframe.session import scratch_path
-from crawlframe.sources import archives, blobs
+from crawlframe.operators.id_sets import SHIFT
+from crawlframe.sources import archives, blobs, buckets
 from workload import frames
 from workload.frames import with_tables
 from workload.registry import query, sql_time, time_text
@@ -99,6 +100,50 @@ def null_out(spark, d):
     )
 
 
+@query(
+    "bucket_clear",
+    with_tables(
+        """
+        SELECT content_id, attempt_id, CASE WHEN content_id % 3 = 0 THEN NULL ELSE payload END AS payload
+        FROM content""",
+        "content",
+    ),
+)
+def clear_buckets(spark, d):
+    """The same on a table in buckets, for the blobs whose export has receipts: no blob is shuffled."""
+    rows = frames.contents(spark, d).drop("source")
+    table = buckets.BucketTable(spark, scratch_path(spark, "content"), rows.schema, buckets.by_range("content_id"))
+    table.replace(rows)
+    table.clear(buckets.exported_ids(rows.filter("content_id % 3 = 0")), "content_id", "content_binary")
+    return table.read().select("content_id", "attempt_id", F.col("content_binary").cast("string").alias("payload"))
+
+
+@query(
+    "bucket_merge",
+    with_tables(
+        f"""
+        SELECT site_submission_id, CASE WHEN site_submission_id >= edge THEN 'finished' ELSE processed_status END AS processed_status,
+               (site_submission_id >> {SHIFT}) >= (edge >> {SHIFT}) AS rewritten
+        FROM submission, (SELECT max(o_orderkey) * 99 // 100 AS edge FROM orders)""",
+        "every_submission",
+    ),
+)
+def merge_buckets(spark, d):
+    """The newest hundredth of the ids is finished: only their buckets are written again."""
+    rows = frames.all_submissions(spark, d)
+    rows = rows.withColumn("date_visited", F.col("date_visited").cast("timestamp"))
+    table = buckets.BucketTable(spark, scratch_path(spark, "submission"), rows.schema, buckets.by_range("site_submission_id"))
+    table.replace(rows)
+    edge = rows.agg(F.max("site_submission_id")).first()[0] * 99 // 100
+    changes = rows.filter(F.col("site_submission_id") >= edge).withColumn("processed_status", F.lit("finished"))
+    number = table.merge(changes, buckets.upsert("site_submission_id", F.col("date_visited")))
+    held, _ = table.manifest()
+    new = [one for one, commit in held.items() if commit == number]
+    return table.read().select(
+        "site_submission_id", "processed_status", F.shiftright("site_submission_id", SHIFT).isin(new).alias("rewritten")
+    )
+
+
 @query(
     "payload_batch",
     with_tables(

@@ -12,7 +12,7 @@ from crawlframe.streaming import attempts as S
 from crawlframe.streaming import claims as C
 from crawlframe.streaming.batches import read_batches
 from crawlframe.streaming.throughput import stream_sessions, stream_throughput
-from crawlframe.streaming.users import USER_COLUMNS, stream_insert_users
+from crawlframe.streaming.users import USER_COLUMNS, stream_insert_users, stream_users_into, user_table
 from workload import frames
 from workload.attempt_queries import CLAIMS, LATEST_STATUS
 from workload.frames import ROOT_USERS, with_tables
@@ -134,6 +134,21 @@ def insert_users(spark, d):
     return read_batches(spark, f"{root}/user", USER_COLUMNS).select("user_name")
 
 
+@query(
+    "stream_users_into",
+    with_tables("SELECT DISTINCT user_name FROM nav UNION SELECT user_name FROM known", "link", "nav", "known"),
+)
+def users_into(spark, d):
+    """The dimension itself, in buckets of names, after the stream has been merged into it."""
+    root = scratch_path(spark, "user-table")
+    table = user_table(spark, f"{root}/user", 16)
+    known = frames.known_users(spark, d).select("user_name").distinct()
+    table.replace(known.select(F.xxhash64("user_name").alias("user_id"), F.lit("2020-01-01").cast("timestamp").alias("date_added"), "user_name"))
+    found = link_users(page_links(stream_table(spark, d, "pages")), ROOT_USERS)
+    stream_users_into(found, table, f"{root}/check", F.lit("2025-01-01")).awaitTermination()
+    return table.read().select("user_name")
+
+
 @query(
     "stream_dead_letter",
     with_tables(
