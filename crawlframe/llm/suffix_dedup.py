@@ -31,13 +31,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.llm.batches import on_workers, partitions, run_starts, shard_of, utf8
+from crawlframe.llm.batches import fresh, on_workers, partitions, run_starts, shard_of, utf8
 from crawlframe.llm.components import stored
 from crawlframe.llm.elias_fano import EliasFano, pack
 from crawlframe.session import scratch_path
@@ -45,6 +46,7 @@ from crawlframe.session import scratch_path
 LENGTH, GRAM, CROWD = 50, 20, 64
 SHARD_BYTES = 4 << 20
 STEPS = (1, 2, 4, 8)
+CACHED = 1 << 14
 #: Odd multipliers for mixing.
 ONE, TWO, THREE, BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0x5851F42D4C957F2D))
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -56,12 +58,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+@lru_cache(maxsize=2)
+def power_table(base: np.uint64, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers; the table is kept, its size a power of two."""
+    return power_table(base, 1 << max(SHARD_BYTES.bit_length(), n.bit_length()))[:n]
+
+
 def previous_factors(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes in order, ties by document: the order, the begins of runs with equal keys, and each run's first document.
 
@@ -112,27 +120,42 @@ def find_spans(texts: list[bytes]) -> Spans:
     data = np.frombuffer(b"".join(texts) + bytes(LENGTH + 8), np.uint8)
     n = len(data) - 8
     loads = np.ndarray((n,), "<u8", data, strides=(1,))
-    grams = loads[: n - GRAM + 8] * ONE
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(mixed(loads * TWO) * powers(BASE, n), out=prefix[1:])
-    inverse = powers(BASE_INVERSE, n)
-    m = n - GRAM
-    hashes = mixed(grams[:m] ^ mixed(loads[8 : m + 8] * TWO) ^ mixed(loads[GRAM - 8 : m + GRAM - 8] * BASE))
-    least = hashes & ~np.uint64(31)  # the low bits count how far the least one is
-    for step in STEPS:
-        least = np.minimum(least[:-step], least[step:] + np.uint64(step))
-    wide = LENGTH - GRAM + 1 - 16
-    least = np.minimum(least[:-wide], least[wide:] + np.uint64(wide))
-    ends = np.repeat(np.cumsum(lengths), np.maximum(lengths, 0))
-    starts = np.flatnonzero(ends - np.arange(len(ends)) >= LENGTH)
-    at = starts + (least[starts] & np.uint64(31)).astype(np.int64)
-    begins = run_starts(at)
-    first = starts[begins]
-    last = starts[np.append(begins[1:], len(starts)) - 1] if len(starts) else first
-    row = np.searchsorted(np.cumsum(lengths), first, side="right")
-    anchor = mixed((least[first] >> np.uint64(5)) * ONE)
+    power, inverse = powers(BASE, n), powers(BASE_INVERSE, n)
+    prefix, grams = np.zeros(n + 1, np.uint64), np.zeros(n, np.uint64)
+    places, new = np.zeros(n, np.int32), np.zeros(n, bool)
+    wide, before = LENGTH - GRAM + 1 - 16, -1
+    for a in range(0, n, CACHED):  # pieces that stay in the cache
+        here = np.ascontiguousarray(loads[a : a + CACHED + LENGTH])
+        second = mixed(here * TWO)
+        size = min(CACHED, n - a)
+        np.cumsum(second[:size] * power[a : a + size], out=prefix[a + 1 : a + size + 1])
+        prefix[a + 1 : a + size + 1] += prefix[a]
+        m = len(here) - GRAM + 8
+        if m <= 8 + 31:
+            break  # no window begins here
+        hashes = mixed((here[: m - 8] * ONE) ^ second[8:m] ^ (here[GRAM - 8 :][: m - 8] * BASE))
+        low = (hashes >> np.uint64(32)).astype(np.uint32) & ~np.uint32(31)  # the low bits count how far the least one is
+        for step in STEPS:
+            low = np.minimum(low[:-step], low[step:] + np.uint32(step))
+        low = np.minimum(low[:-wide], low[wide:] + np.uint32(wide))[:size]
+        grams[a : a + len(hashes[:size])] = hashes[:size]
+        at = (low & np.uint32(31)).astype(np.int32) + np.arange(a, a + len(low), dtype=np.int32)
+        places[a : a + len(at)] = at
+        new[a + 1 : a + len(at)] = at[1:] != at[:-1]
+        new[a] = at[0] != before
+        before = at[-1]
+    ends = np.cumsum(lengths)
+    long = lengths >= LENGTH
+    new[(ends - lengths)[long]] = True
+    first = np.flatnonzero(new[: ends[-1]]) if len(ends) else np.zeros(0, np.int64)
+    row = np.searchsorted(ends, first, side="right")
+    windows = first <= ends[row] - LENGTH if len(first) else np.zeros(0, bool)
+    first, row = first[windows], row[windows]
+    last = ends[row] - LENGTH
+    last[:-1] = np.where(row[1:] == row[:-1], first[1:] - 1, last[:-1])
+    anchor = mixed(grams[places[first]] * ONE)
     whole = window_hashes(prefix, inverse, first, last + LENGTH)
-    shape = (at[begins] - first) * 64 + (last - first)
+    shape = (places[first] - first) * 64 + (last - first)
     return Spans(data, loads, prefix, inverse, first, last, row, anchor, whole ^ mixed(shape.astype(np.uint64) * ONE))
 
 
@@ -303,15 +326,20 @@ def read_shard(part: pa.Table, replies: pa.Table, owners: int, drop_bits: int) -
     return Shard(utf8(part.column("text")), docs, owners, drop_bits, found)
 
 
-def bucketed(docs: DataFrame, shards: int) -> DataFrame:
-    """The documents in a table bucketed by shard, so that later steps need not shuffle texts again."""
+def bucketed(docs: DataFrame, shard: str, shards: int) -> DataFrame:
+    """The documents in a table bucketed by the new column ``shard``, so that later steps need not shuffle texts again.
+
+    The catalog forgets the table's name at once; its files stay in the shared folder.
+    """
     spark, buckets = docs.sparkSession, partitions(docs.sparkSession)
     path = scratch_path(spark, "shards")
     name = "shards_" + path.rsplit("-", 1)[1]
-    sharded = docs.withColumn("__shard", shard_of("doc_id", shards)).repartition(buckets, "__shard")
-    writer = sharded.write.bucketBy(buckets, "__shard").option("path", path).option("compression", "zstd")
+    sharded = docs.withColumn(shard, shard_of("doc_id", shards)).repartition(buckets, shard)
+    writer = sharded.write.bucketBy(buckets, shard).option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
-    return spark.read.table(name)
+    table = spark.read.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def exchange_sides(step: int, owners: int, drop_bits: int) -> tuple[Callable, Callable]:
@@ -319,7 +347,7 @@ def exchange_sides(step: int, owners: int, drop_bits: int) -> tuple[Callable, Ca
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         blocks = read_shard(left, right, owners, drop_bits).blocks(step) if left.num_rows else []
-        shard = [left.column("__shard")[0].as_py()] * len(blocks) if blocks else []
+        shard = [left.column("shard")[0].as_py()] * len(blocks) if blocks else []
         return pa.table(
             {
                 "shard": pa.array(shard, pa.int32()),
@@ -349,20 +377,21 @@ def with_removals(docs: DataFrame, schema: str, finish: Callable) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     shards = max(owners, size // SHARD_BYTES + 1)
     drop_bits = max(0, 64 - (int(size).bit_length() + 10))
-    table = bucketed(docs, shards)
-    texts = table.select("__shard", "doc_id", "text")
+    (shard_name,) = fresh(docs.columns, "shard")
+    table = bucketed(docs, shard_name, shards)
+    texts = table.select(F.col(shard_name).alias("shard"), "doc_id", "text")
     replies = spark.createDataFrame([], REPLY)
 
     for step in (1, 2, 3):
         send, reply = exchange_sides(step, owners, drop_bits)
-        blocks = texts.groupBy("__shard").cogroup(replies.groupBy("shard")).applyInArrow(send, BLOCK)
+        blocks = texts.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(send, BLOCK)
         replies = replies.unionByName(stored(blocks.groupBy("owner").applyInArrow(reply, REPLY), f"replies-{step}"))
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
         shard = read_shard(left, right, owners, drop_bits)
         return finish(left, shard.texts, shard.removed())
 
-    return table.groupBy("__shard").cogroup(replies.groupBy("shard")).applyInArrow(end, schema)
+    return table.groupBy(shard_name).cogroup(replies.groupBy("shard")).applyInArrow(end, schema)
 
 
 def kept_parts(texts: list[bytes], removed: np.ndarray) -> list[bytes]:
@@ -402,12 +431,12 @@ def removal_report(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with what is left of ``text``; characters cut in two are dropped, documents left empty too."""
-    columns = docs.columns
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
+    columns = [name if name in ("doc_id", "text") else f"column_{k}" for k, name in enumerate(docs.columns)]
+    schema = ", ".join(f"{name} {kind}" for name, (_, kind) in zip(columns, docs.dtypes))
 
     def rewrite(part: pa.Table, texts: list[bytes], removed: np.ndarray) -> pa.Table:
         left = [text.decode(errors="ignore") for text in kept_parts(texts, removed)]
         whole = part.select(columns).set_column(columns.index("text"), "text", pa.array(left, pa.string()))
         return whole.filter(pa.array([bool(new) or not old for new, old in zip(left, texts)], pa.bool_()))
 
-    return with_removals(docs, schema, rewrite).select(*columns)
+    return with_removals(docs.toDF(*columns), schema, rewrite).toDF(*docs.columns)
