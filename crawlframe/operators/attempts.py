@@ -216,30 +216,27 @@ def apply_claims(
 
 
 def finish_submissions(
-    submissions: DataFrame, observed: DataFrame, visited_at: Column
+    submissions: DataFrame, observed: DataFrame, moment: str | None = None
 ) -> DataFrame:
     """Snapshot after the visits: rows of visited ids get their state and are ``finished``.
 
     ``observed`` has ``site_submission_id`` and ``submission_status`` (the state
     that the page was classified as).  A visit without a state (null) leaves
-    its row as it is, so the id is claimed again; of several visits of an id
-    the state that sorts last counts.  Rows that are finished stay as they are.
+    its row as it is, so the id is claimed again.  Of several visits of an id
+    the newest by the column ``moment`` counts, without it (or at the same
+    moment) the state that sorts last.  Rows that are finished stay as they
+    are, and ``date_visited`` remains that of the claim.
     """
-    states = (
-        observed.filter(F.col("submission_status").isNotNull())
-        .groupBy(SITE_ID)
-        .agg(F.max("submission_status").alias("_state"))
-    )
+    seen = observed.filter(F.col("submission_status").isNotNull())
+    order = [F.col(moment)] if moment else []
+    newest = F.max_by("submission_status", F.struct(*order, F.col("submission_status")))
+    states = seen.groupBy(SITE_ID).agg(newest.alias("_state"))
     open_row = ~F.col("processed_status").eqNullSafe("finished") & F.col("_state").isNotNull()
 
     def finished(value: Column, column: str) -> Column:
         return F.when(open_row, value).otherwise(F.col(column)).alias(column)
 
-    new = {
-        "submission_status": F.col("_state"),
-        "processed_status": F.lit("finished"),
-        "date_visited": visited_at,
-    }
+    new = {"submission_status": F.col("_state"), "processed_status": F.lit("finished")}
     return submissions.join(states, SITE_ID, "left").select(
         *[finished(new[name], name) if name in new else F.col(name) for name in submissions.columns]
     )

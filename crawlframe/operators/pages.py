@@ -179,17 +179,8 @@ def broken_rule(extractors: tuple[Extractor, ...], profile: SiteProfile) -> Colu
     return rule
 
 
-def mentions_of(
-    parsed: DataFrame,
-    extractors: tuple[Extractor, ...] = EXTRACTORS,
-    profile: SiteProfile = SiteProfile(),
-    page: str = "page_id",
-) -> DataFrame:
-    """``page, role, user_name``, each once per page, from parsed pages.
-
-    Pages that break an extractor's expectation give no rows; see
-    :func:`mention_errors`.
-    """
+def named_users(extractors: tuple[Extractor, ...], profile: SiteProfile) -> Column:
+    """``array<struct<role,user_name>>`` of a parsed page, each once; names may be null."""
     names = F.concat(
         *[
             F.transform(
@@ -202,8 +193,22 @@ def mentions_of(
             for extractor in extractors
         ]
     )
+    return F.array_distinct(names)
+
+
+def mentions_of(
+    parsed: DataFrame,
+    extractors: tuple[Extractor, ...] = EXTRACTORS,
+    profile: SiteProfile = SiteProfile(),
+    page: str = "page_id",
+) -> DataFrame:
+    """``page, role, user_name``, each once per page, from parsed pages.
+
+    Pages that break an extractor's expectation give no rows; see
+    :func:`mention_errors`.
+    """
     usable = parsed.filter(broken_rule(extractors, profile).isNull())
-    return usable.select(page, F.inline(F.array_distinct(names))).filter(
+    return usable.select(page, F.inline(named_users(extractors, profile))).filter(
         F.col("user_name").isNotNull()
     )
 

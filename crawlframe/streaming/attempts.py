@@ -47,10 +47,13 @@ def stream_attempts(
     """Log an attempt per message; finish it where its content is in storage.
 
     ``contents`` has ``site_submission_id, content_length, content_sha512`` of what was
-    fetched; of several rows of an id the one with the largest digest counts.  Attempts and content of a micro-batch are
-    written before its input counts as read, so a crash repeats the batch,
-    and the repeat overwrites it: no message is lost, no row doubled.
+    fetched, and when in ``date_fetched``; of several rows of an id the newest
+    counts (without that column, or at one moment, the largest digest).
+    Attempts and content of a micro-batch are written before its input counts
+    as read, so a crash repeats the batch, and the repeat overwrites it: no
+    message is lost, no row doubled.
     """
+    order = [name for name in ("date_fetched", "content_sha512") if name in contents.columns]
 
     done = F.col("content_sha512").isNotNull()
 
@@ -58,7 +61,7 @@ def stream_attempts(
         good, _ = split_messages(batch)
         with held(attempt_rows(good, worker)) as (attempts, n_attempts):
             stored = only_keys(contents, attempts, SITE_ID, n_attempts)
-            newest = F.max(F.struct("content_sha512", "content_length")).alias("_c")
+            newest = F.max_by(F.struct("content_sha512", "content_length"), F.struct(*order)).alias("_c")
             stored = stored.groupBy(SITE_ID).agg(newest).select(SITE_ID, "_c.*")
             worked = attempts.join(stored, SITE_ID, "left")
             content = worked.filter(done).select(

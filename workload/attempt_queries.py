@@ -207,8 +207,7 @@ def finish(spark, d):
     seen = frames.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("site_submission_id"), F.expr(OBSERVED).alias("submission_status")
     )
-    now = F.lit("2025-01-01").cast("timestamp_ntz")
-    after = A.finish_submissions(frames.all_submissions(spark, d), seen, now)
+    after = A.finish_submissions(frames.all_submissions(spark, d), seen)
     return after.select("site_submission_id", "submission_status", "processed_status")
 
 

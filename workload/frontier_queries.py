@@ -13,7 +13,7 @@ from crawlframe.functions.urls import (
     username_from_url,
     view_id_from_href,
 )
-from crawlframe.operators import frontier, id_sets, links, names
+from crawlframe.operators import frontier, heavy, id_sets, links, names, sketches
 from crawlframe.plans.catch_up import catch_up_messages
 from crawlframe.plans.discovery import discover_link_users
 from crawlframe.session import scratch_path
@@ -363,3 +363,50 @@ def coverage(spark, d):
     seen, _ = _stored_sets(spark, d)
     _, hi = frontier.id_bounds(frames.ids(spark, d))
     return id_sets.bucket_coverage(seen, 5, hi)
+
+
+@query(
+    "heavy_hitters",
+    """
+    WITH counted AS (SELECT l_returnflag AS role, CAST(l_partkey AS VARCHAR) AS part, count(*) AS n_rows FROM lineitem GROUP BY ALL),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY n_rows DESC, part) AS rank FROM counted)
+    SELECT role, part, n_rows, rank FROM ranked WHERE rank <= 15""",
+)
+def heavy_parts(spark, d):
+    """The parts that most line items of a kind name; summaries find the candidates."""
+    rows = frames.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("role"), F.col("l_partkey").alias("part"))
+    return heavy.heavy_hitters(rows, "role", "part", 15)
+
+
+def _day_sketches(spark, d):
+    """Users per event type and day, kept as a table."""
+    path = scratch_path(spark, "sketches")
+    rows = frames.table(spark, d, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    sketches.distinct_sketches(rows, ["event_type", "day"], "user_id").write.parquet(path)
+    return spark.read.schema("event_type string, day date, sketch binary").parquet(path)
+
+
+@query(
+    "distinct_sketches",
+    "SELECT event_type, month(ts) AS month, count(DISTINCT user_id) AS n_distinct FROM events GROUP BY ALL",
+)
+def monthly_users(spark, d):
+    """Users per event type and month from the stored sketches of days; exact up to 32,768 of them."""
+    by_month = _day_sketches(spark, d).withColumn("month", F.month("day").cast("long"))
+    return sketches.merged_counts(by_month, ["event_type", "month"])
+
+
+@query(
+    "sketch_comparison",
+    """
+    WITH e AS (SELECT DISTINCT event_type, user_id, day(ts) % 2 AS odd FROM events),
+         p AS (SELECT event_type, user_id, bool_or(odd = 0) AS a, bool_or(odd = 1) AS b FROM e GROUP BY ALL)
+    SELECT event_type, count(*) FILTER (WHERE a) AS n_left, count(*) FILTER (WHERE b) AS n_right,
+           count(*) FILTER (WHERE a AND b) AS n_both, count(*) AS n_either, count(*) FILTER (WHERE a AND NOT b) AS n_left_only
+    FROM p GROUP BY event_type""",
+)
+def even_and_odd_days(spark, d):
+    """Users seen on even days, odd days, both, either, even ones alone."""
+    rows = _day_sketches(spark, d)
+    even, odd = (sketches.merged_sketches(rows.filter(F.dayofmonth("day") % 2 == k), ["event_type"]) for k in (0, 1))
+    return sketches.compared_counts(even, odd, ["event_type"])

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.urls import username_from_url
 from crawlframe.operators import pages as P
-from crawlframe.plans.discovery import discover_users
+from crawlframe.plans.discovery import discover_users, unread_pages
+from crawlframe.plans.visit import visit_pages
 from workload import frames
 from workload.frames import ROOT_USERS, with_tables
 from workload.registry import query
@@ -152,3 +153,84 @@ def discovery(spark, d):
         pages, frames.known_users(spark, d), F.lit("2025-01-01").cast("timestamp_ntz")
     )
     return added.select("user_name")
+
+
+@query(
+    "unread_pages",
+    "SELECT page_id, 'tagline' AS role FROM pages WHERE page_id % 10 NOT IN (1, 2) AND page_id % 7 <> 0",
+)
+def unread(spark, d):
+    """Pages that exist but break a registered rule: every page should name commenter page-0."""
+    pages = frames.site_pages(spark, d).select("page_id", F.encode("html", "UTF-8").alias("content"))
+    rule = P.Extractor("tagline", P.SELECT_COMMENTER, _only_zero, required=True)
+    return unread_pages(pages, P.register_extractor(rule))
+
+
+def _only_zero(element, profile):
+    """The element's name, null for the numbered names that are not page-0."""
+    name = P.name_from_text(element, profile)
+    return F.when(name.rlike("^page-[1-6]$"), F.lit(None)).otherwise(name)
+
+
+VISITED = """
+    visited AS (SELECT page_id * 4 AS site_submission_id, page_id,
+                       CASE page_id % 10 WHEN 1 THEN 'deleted' WHEN 2 THEN 'gdpr_deleted' ELSE 'exists' END AS state
+                FROM pages)"""
+
+
+def _visit(spark, d):
+    """Every page fetched as that of the item of its number times four; names in the pages are new."""
+    pages = frames.site_pages(spark, d).select(
+        (F.col("page_id") * 4).alias("site_submission_id"),
+        F.lit("2025-01-01").cast("timestamp").alias("date_visited"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+    rule = P.Extractor("tagline", P.SELECT_COMMENTER, _only_zero, required=True)
+    when = F.lit("2025-01-01").cast("timestamp_ntz")
+    return visit_pages(pages, frames.all_submissions(spark, d), frames.known_users(spark, d), when, P.register_extractor(rule))
+
+
+@query(
+    "visit_submissions",
+    with_tables(
+        f"""
+        , {VISITED}
+        SELECT site_submission_id, CASE WHEN hit THEN state ELSE submission_status END AS submission_status,
+               CASE WHEN hit THEN 'finished' ELSE processed_status END AS processed_status
+        FROM (SELECT submission.*, state, processed_status <> 'finished' AND page_id IS NOT NULL
+                     AND (state <> 'exists' OR page_id % 7 = 0) AS hit
+              FROM submission LEFT JOIN visited USING (site_submission_id))""",
+        "every_submission",
+    ),
+)
+def visit_submissions(spark, d):
+    """The submission table after the visit: unread pages leave their ids open."""
+    return _visit(spark, d).submissions.select("site_submission_id", "submission_status", "processed_status")
+
+
+@query(
+    "visit_users",
+    with_tables(
+        """
+        SELECT DISTINCT user_name FROM expected_mention
+        WHERE page_id % 7 = 0 AND user_name IS NOT NULL AND user_name NOT IN (SELECT user_name FROM known)""",
+        "link", "nav", "known", "expected_mention",
+    ),
+)
+def visit_users(spark, d):
+    return _visit(spark, d).users.select("user_name")
+
+
+@query(
+    "visit_webpages",
+    with_tables(
+        f"""
+        , {VISITED}
+        SELECT submission_id, 'decoded_ok' AS encoding_status
+        FROM submission JOIN visited USING (site_submission_id) WHERE state = 'exists' AND page_id % 7 = 0""",
+        "every_submission",
+    ),
+)
+def visit_webpages(spark, d):
+    """Page rows of usable pages alone."""
+    return _visit(spark, d).webpages.select("submission_id", "encoding_status")
