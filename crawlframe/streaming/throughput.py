@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def with_end(attempts: DataFrame, ends: DataFrame, time: str = "date_visited") -> DataFrame:
+    """The stream and, of a stream of end marks, one row per moment with no other value.
+
+    A mark later than any row by more than idle time, width and delay lets the
+    watermark close all windows and sessions; its own never comes out.
+    """
+    marks = ends.select(
+        *[
+            (F.col(time) if name == time else F.lit(None)).cast(kind).alias(name)
+            for name, kind in attempts.dtypes
+        ]
+    )
+    return attempts.unionByName(marks)
+
+
 def stream_throughput(
     attempts: DataFrame,
     width: str = "1 hour",

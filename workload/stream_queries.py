@@ -10,8 +10,8 @@ from crawlframe.session import scratch_path
 from crawlframe.sources.queue import read_message_stream
 from crawlframe.streaming import attempts as S
 from crawlframe.streaming import claims as C
-from crawlframe.streaming.batches import read_batches
-from crawlframe.streaming.throughput import stream_sessions, stream_throughput
+from crawlframe.streaming.batches import read_batches, write_batch
+from crawlframe.streaming.throughput import stream_sessions, stream_throughput, with_end
 from crawlframe.streaming.users import USER_COLUMNS, stream_insert_users, stream_users_into, user_table
 from workload import frames
 from workload.attempt_queries import CLAIMS, LATEST_STATUS
@@ -225,6 +225,81 @@ def sessions(spark, d):
     )
 
 
+def ended_attempts(spark, d) -> DataFrame:
+    """The attempts, then a mark that no more will come."""
+    root = scratch_path(spark, "ends")
+    spark.sql("SELECT TIMESTAMP '2200-01-01' AS date_visited").write.parquet(root)
+    ends = spark.readStream.schema("date_visited timestamp").parquet(root)
+    return with_end(attempt_stream(spark, d), ends)
+
+
+@query(
+    "all_throughput",
+    with_tables(
+        f"""
+        SELECT {sql_time("date_trunc('hour', date_visited)")} AS window_start, processed_status,
+               count(*) AS n_attempts
+        FROM attempt GROUP BY date_trunc('hour', date_visited), processed_status""",
+        "attempt",
+    ),
+)
+def whole_throughput(spark, d):
+    """Hourly counts of a stream that has ended: no window stays open."""
+    rows = _closed_windows(spark, d, stream_throughput(ended_attempts(spark, d)), "throughput")
+    return rows.select(
+        time_text(F.col("window_start")).alias("window_start"), "processed_status", "n_attempts"
+    )
+
+
+@query(
+    "all_sessions",
+    with_tables(
+        f"""
+        , marked AS (
+          SELECT *, CASE WHEN date_diff('microsecond', lag(date_visited) OVER w, date_visited)
+                              < 5400000000 THEN 0 ELSE 1 END AS starts
+          FROM attempt
+          WINDOW w AS (PARTITION BY claimed_by ORDER BY date_visited, scrape_attempt_id)),
+        numbered AS (
+          SELECT *, sum(starts) OVER (PARTITION BY claimed_by
+                                      ORDER BY date_visited, scrape_attempt_id) AS no
+          FROM marked)
+        SELECT claimed_by, {sql_time("min(date_visited)")} AS session_start, count(*) AS n_attempts
+        FROM numbered GROUP BY claimed_by, no""",
+        "attempt",
+    ),
+)
+def whole_sessions(spark, d):
+    """Sessions of a stream that has ended."""
+    rows = _closed_windows(spark, d, stream_sessions(ended_attempts(spark, d), idle="90 minutes"), "sessions")
+    return rows.select(
+        "claimed_by", time_text(F.col("session_start")).alias("session_start"), "n_attempts"
+    )
+
+
+@query(
+    "stream_skip_done",
+    with_tables(
+        f"""
+        SELECT id, action FROM ({CLAIMS})
+        WHERE action <> 'skip' AND id IN (SELECT l_orderkey FROM lineitem) AND id % 4 <> 0""",
+        "message", "submission",
+    ),
+)
+def skip_done(spark, d):
+    """The same where the finish step has written every fourth id meanwhile."""
+    lines = stream_table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").alias("o_orderdate")
+    )
+    root = scratch_path(spark, "claims")
+    finished = frames.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")).filter("id % 4 = 0")
+    write_batch(finished, f"{root}/finished", 0)
+    S.stream_skip_finished(
+        frames.message_columns(lines), frames.submissions(spark, d), f"{root}/claim", f"{root}/check", f"{root}/finished"
+    ).awaitTermination()
+    return read_batches(spark, f"{root}/claim", "id long, action string").drop("batch_id")
+
+
 CLAIM_DAYS = 30
 CLAIM_LOG_SQL = f"""
     orders_at AS (SELECT o_orderkey AS id, o_orderdate AS t FROM orders),
