@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from crawlframe.operators.links import link_users, page_links
 from crawlframe.session import scratch_path
-from crawlframe.sources.queue import read_message_stream
+from crawlframe.sources.queue import MESSAGE_SCHEMA, read_message_stream
+from crawlframe.sources.queue_source import publish_messages, read_queue
 from crawlframe.streaming import attempts as S
 from crawlframe.streaming import claims as C
 from crawlframe.streaming.batches import read_batches, write_batch
@@ -52,6 +53,28 @@ def queue_source(spark, d):
     return rows.select("delivery_tag", F.col("value").cast("string").alias("body"))
 
 
+@query(
+    "acknowledged_queue",
+    with_tables("SELECT delivery_tag, body FROM message", "message"),
+)
+def acknowledged_queue(spark, d):
+    """All messages of a folder queue, in deliveries that are acknowledged one by one."""
+    root = scratch_path(spark, "acked-queue")
+    messages = frames.messages(spark, d)
+    publish_messages(messages, root)
+    limit = max(1000, messages.count() // 4)
+    writer = read_queue(spark, root, limit).writeStream.foreachBatch(
+        lambda batch, batch_id: write_batch(batch, f"{root}/out", batch_id)
+    )
+    run = writer.option("checkpointLocation", f"{root}/check").start()
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    rows = read_batches(spark, f"{root}/out", MESSAGE_SCHEMA)
+    return rows.select("delivery_tag", F.col("value").cast("string").alias("body"))
+
+
 @query(
     "stream_attempts",
     with_tables(
