@@ -23,9 +23,16 @@ def on_workers(spark: SparkSession) -> SparkSession:
 
 
 def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package; a worker gives Arrow's memory back after each task."""
     on_workers(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def partitions(spark: SparkSession) -> int:

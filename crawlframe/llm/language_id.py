@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.llm.batches import mapped, only
+from crawlframe.llm.batches import mapped, on_workers, only, small
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Longest n-gram, words longer than this are cut into pieces of it, cached words per worker.
-LONGEST, LONG_WORD, CACHED = 5, 40, 500_000
+#: Longest n-gram, and cached words per worker.
+LONGEST, CACHED = 5, 300_000
 UNKNOWN = "und"
 
 
@@ -41,7 +41,11 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def word_list(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Runs of letters in lower case; numerals such as ½ or Ⅷ are no letters."""
+    found = WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 class WordRows(dict):
@@ -123,7 +127,7 @@ def train(
                 for word, times in words.items():
                     terms[(0, word)] += times
                     for n in range(1, LONGEST + 1):
-                        for gram in grams(word[:LONG_WORD], n):
+                        for gram in grams(word, n):
                             terms[(n, gram)] += times
                 kinds, names = zip(*terms) if terms else ((), ())
                 yield pa.RecordBatch.from_pydict(
@@ -176,11 +180,12 @@ def predict(docs: DataFrame, model: LanguageModel, *keys: str) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = held.value
-        for batch in batches:
+        for batch in small(batches, "__text"):
             found = [learned.scores(text) for text in batch.column("__text").to_pylist()]
             kept = batch.drop_columns(["__text"])
             kept = kept.append_column("lang_pred", pa.array([lang for lang, _ in found], pa.string()))
             yield kept.append_column("score", pa.array([number for _, number in found], pa.float64()))
+        learned.rows = None  # the worker lives on
 
     schema = ", ".join(f"`{key}` {kinds[key]}" for key in keys)
     rows = docs.select(*keys, F.col("text").cast("string").alias("__text"))
@@ -188,7 +193,16 @@ def predict(docs: DataFrame, model: LanguageModel, *keys: str) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel, *, min_score: float = 0.5) -> DataFrame:
-    """Documents in a recognised language, with all their columns and no new one."""
-    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "text")
-    known = predict(rows, model, "row").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return known.select("row.*")
+    """Documents in a recognised language, with all their columns and no new one; only the text goes to Python."""
+    held = on_workers(docs.sparkSession).sparkContext.broadcast(model)  # of the fixed size train() states
+
+    @F.arrow_udf("boolean")
+    def recognised(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        learned = held.value
+        for texts in batches:
+            found = (learned.scores(text.as_py()) for text in texts)
+            yield pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_())
+        learned.rows = None  # the worker lives on
+        pa.default_memory_pool().release_unused()
+
+    return docs.filter(recognised(F.col("text").cast("string")))

@@ -236,6 +236,7 @@ def encode_documents(docs: DataFrame, *keys: str, model: str) -> DataFrame:
         for batch in small(batches, "__text"):
             ids = codec(model).encode(batch.column("__text").to_pylist())
             yield batch.drop_columns(["__text"]).append_column("ids", pa.array(ids, pa.binary()))
+        codec(model).kept = {}  # the worker lives on
 
     schema = ", ".join(f"`{key}` {kinds[key]}" for key in keys)
     rows = docs.select(*keys, F.col("text").cast("string").alias("__text"))
@@ -267,6 +268,7 @@ def round_trips(docs: DataFrame, *keys: str, model: str) -> DataFrame:
             made = made.append_column("n_tokens", pa.array([len(one) // 4 for one in ids], pa.int64()))
             made = made.append_column("ids_crc32", pa.array(map(zlib.crc32, ids), pa.int64()))
             yield made.append_column("round_trip", pa.array(map(str.__eq__, codec(model).decode(ids), texts), pa.bool_()))
+        codec(model).kept = {}  # the worker lives on
 
     schema = ", ".join(f"`{key}` {kinds[key]}" for key in keys)
     rows = docs.select(*keys, F.col("text").cast("string").alias("__text"))

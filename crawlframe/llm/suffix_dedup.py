@@ -31,7 +31,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,16 +57,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-@lru_cache(maxsize=2)
-def power_table(base: np.uint64, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+class Powers:
+    """Powers of an odd number: those below ``CACHED``, and of them by steps of that size."""
 
+    def __init__(self, base: np.uint64, n: int):
+        low = np.full(CACHED + 1, base, np.uint64)
+        low[0] = 1
+        low = np.cumprod(low, dtype=np.uint64)
+        high = np.full(n // CACHED + 1, low[-1], np.uint64)
+        high[0] = 1
+        self.low, self.high = low[:-1], np.cumprod(high, dtype=np.uint64)
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """The first ``n`` powers; the table is kept, its size a power of two."""
-    return power_table(base, 1 << max(SHARD_BYTES.bit_length(), n.bit_length()))[:n]
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self.low[at % CACHED] * self.high[at // CACHED]
 
 
 def previous_factors(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +104,7 @@ class Spans:
     data: np.ndarray
     loads: np.ndarray
     prefix: np.ndarray
-    inverse: np.ndarray
+    inverse: Powers
     first: np.ndarray
     last: np.ndarray
     row: np.ndarray
@@ -110,7 +112,7 @@ class Spans:
     whole: np.ndarray
 
 
-def window_hashes(prefix: np.ndarray, inverse: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def window_hashes(prefix: np.ndarray, inverse: Powers, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the bytes from ``begin`` to ``end`` (not included), eight at least."""
     return mixed((prefix[end - 7] - prefix[begin]) * inverse[begin])
 
@@ -120,7 +122,7 @@ def find_spans(texts: list[bytes]) -> Spans:
     data = np.frombuffer(b"".join(texts) + bytes(LENGTH + 8), np.uint8)
     n = len(data) - 8
     loads = np.ndarray((n,), "<u8", data, strides=(1,))
-    power, inverse = powers(BASE, n), powers(BASE_INVERSE, n)
+    power, inverse = Powers(BASE, n), Powers(BASE_INVERSE, n)
     prefix, grams = np.zeros(n + 1, np.uint64), np.zeros(n, np.uint64)
     places, new = np.zeros(n, np.int32), np.zeros(n, bool)
     wide, before = LENGTH - GRAM + 1 - 16, -1
@@ -128,8 +130,8 @@ def find_spans(texts: list[bytes]) -> Spans:
         here = np.ascontiguousarray(loads[a : a + CACHED + LENGTH])
         second = mixed(here * TWO)
         size = min(CACHED, n - a)
-        np.cumsum(second[:size] * power[a : a + size], out=prefix[a + 1 : a + size + 1])
-        prefix[a + 1 : a + size + 1] += prefix[a]
+        sums = np.cumsum(second[:size] * power.low[:size])
+        prefix[a + 1 : a + size + 1] = sums * power.high[a // CACHED] + prefix[a]
         m = len(here) - GRAM + 8
         if m <= 8 + 31:
             break  # no window begins here

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlframe.llm.batches import mapped, only, partitions
+from crawlframe.llm.batches import mapped, only, partitions, small
 from crawlframe.llm.elias_fano import EliasFano, pack
 from crawlframe.llm.token_words import word_encoder
 
@@ -61,7 +61,7 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str, end_id: in
                 }
             )
 
-        for batch in batches:
+        for batch in small(batches, "text"):
             texts = batch.column("text").to_pylist()
             for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
                 keys.append(key)
@@ -70,6 +70,7 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str, end_id: in
                 if total >= SEGMENT_IDS:
                     yield flush()
                     keys, parts, total, made = [], [], 0, made + 1
+        encoder.forget()
         if keys:
             yield flush()
 
@@ -111,6 +112,31 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return mapped(spark.read.schema(SEGMENT).parquet(path), documents, DOCUMENT)
 
 
+def find_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """Rows of :func:`read_documents` for some ids alone: their boundaries are selected, no other one is decoded.
+
+    ``doc_ids`` is a short list; other segments are passed over by their ids.
+    """
+    wanted = sorted(set(doc_ids))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                bounds, rows = EliasFano(row["bounds"]), []
+                for k, key in enumerate(row["doc_ids"]):
+                    if key in chosen:
+                        start, end = bounds.select(k - 1) if k else 0, bounds.select(k)
+                        data = np.frombuffer(row["ids"], f"<u{row['width']}", end - start, start * row["width"])
+                        rows.append((key, row["shard"], row["segment"], start, end - start, data.astype("<u4").tobytes()))
+                if rows:
+                    names, kinds = ("doc_id", "shard", "segment", "local_start", "n_tokens", "ids"), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_pydict({name: pa.array(column, kind) for name, kind, column in zip(names, kinds, zip(*rows))})
+
+    chosen = set(wanted)
+    files = spark.read.schema(SEGMENT).parquet(path)
+    return mapped(files.filter(F.arrays_overlap("doc_ids", F.array(*map(F.lit, wanted)).cast("array<bigint>"))), pick, DOCUMENT)
+
+
 def document_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and the checksum of its ids."""
     starts = segment_starts(spark.read.schema(SEGMENT).parquet(path))

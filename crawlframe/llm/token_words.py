@@ -4,23 +4,24 @@ Where a vocabulary never looks across a blank, every blank-separated word has
 its own ids.  A word of letters with punctuation after it is split further,
 as the vocabulary's own pre-tokenizer does.  Unseen words reach the library
 many at a time, joined by blanks: the last token of each is known by its
-end-of-word mark.  Ids of words are kept for the life of a worker, in
-dictionaries of a fixed size.
+end-of-word mark.  Ids of words are kept for a task, in dictionaries of a fixed
+size.
 """
 
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Encoding, Tokenizer
 
 from crawlframe.llm.batches import slices
 
-#: Words kept per worker, the longest word worth keeping, and words in one call of the library.
-KEPT_WORDS, KEPT_CHARS, TOGETHER = 600_000, 48, 2000
+#: Words kept per worker, the longest word worth keeping, words in one text for the library, and texts in one call.
+KEPT_WORDS, KEPT_CHARS, TOGETHER, AT_ONCE = 300_000, 48, 2000, 8
 MARKS = string.punctuation
 END_OF_WORD = "</w>"
 
@@ -36,17 +37,28 @@ class WordEncoder:
         self.letters: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        """Drop the ids kept; for the end of a task, as the worker lives on."""
+        self.letters, self.marks = {}, {"": b""}
+
     def raw(self, words: list[str]) -> list[bytes]:
         """Ids of each word by itself."""
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+        out: list[bytes] = []
+        for at in range(0, len(words), TOGETHER):
+            found = self.tokenizer.encode_batch_fast(words[at : at + TOGETHER], add_special_tokens=False)
+            out.extend(np.array(one.ids, "<u4").tobytes() for one in found)
+        return out
+
+    def joined(self, parts: list[list[str]]) -> Iterator[Encoding]:
+        """The parts as encoded by the library, a few in one call: what it returns is many times the text."""
+        for at in range(0, len(parts), AT_ONCE):
+            yield from self.tokenizer.encode_batch_fast([" ".join(part) for part in parts[at : at + AT_ONCE]], add_special_tokens=False)
 
     def of_letters(self, words: list[str]) -> list[bytes]:
         """Ids of words that consist of letters, encoded together."""
         out: list[bytes] = []
         parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
-        for part, one in zip(parts, joined):
+        for part, one in zip(parts, self.joined(parts)):
             ids = np.array(one.ids, "<u4")
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
@@ -80,7 +92,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = []
-        for a, b in slices([len(text or "") for text in texts], 4_000_000):
+        for a, b in slices([len(text or "") for text in texts], 2_000_000):
             words = [(text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts[a:b]]
             ids = self.learn(set(chain.from_iterable(words))).__getitem__
             out.extend(b"".join(map(ids, some)) for some in words)
