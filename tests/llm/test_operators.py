@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -130,6 +131,15 @@ def test_rows_that_share_an_id(spark):
         assert sorted((row.doc_id, row.text) for row in left.collect()) == wanted
 
 
+def test_passages_of_odd_columns(spark):
+    rows = [(1, PASSAGE), (2, "x" + PASSAGE), (3, None), (4, "")]
+    docs = spark.createDataFrame([(*row, "p", 1, 2, "m", 3) for row in rows], ODD_COLUMNS)
+    left = suffix_dedup.without_repeats(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect())) == [(1, PASSAGE, "p", 1, 2, "m", 3), (2, "x", "p", 1, 2, "m", 3), (3, "", "p", 1, 2, "m", 3), (4, "", "p", 1, 2, "m", 3)]
+    assert not [table.name for table in spark.catalog.listTables() if table.name.startswith("shards_")]
+
+
 # repeated passages
 
 
@@ -357,6 +367,15 @@ def test_token_files(spark):
         at += len(ids)
 
 
+def test_documents_are_found_by_select(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT_IDS", 3000)
+    path = str(tmp_path / "files")
+    token_files.write_token_files(documents(spark), path, vocabulary=tokenizer_path(VOCABULARY), end_id=2)
+    rows = {row.doc_id: row for row in token_files.read_documents(spark, path).collect()}
+    wanted = [*sorted(rows)[:3], *sorted(rows)[50:150:7], max(rows), -5]
+    assert {row.doc_id: row for row in token_files.find_documents(spark, path, wanted).collect()} == {key: rows[key] for key in wanted if key in rows}
+
+
 def test_token_files_of_odd_rows(spark, docs, empty, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_IDS", 500)
     for name, frame, rows in (("odd", docs, len(TEXTS) + 1), ("empty", empty, 0)):
@@ -488,6 +507,23 @@ def test_language_of_odd_rows(spark, docs, empty):
     assert {row.lang_pred for row in language_id.predict(docs, nothing, "doc_id").collect()} == {"und"}
 
 
+def test_letters_of_long_words_and_numerals(spark):
+    assert language_id.word_list("½ ² ① Ⅷ a½b ÄÖ") == ["a", "b", "äö"]
+    rows = [(k, "z" * 60 + "qxqx" * 20, "q") for k in range(10)] + [(k + 10, "z" * 60 + "wvwv" * 20, "w") for k in range(10)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "qxqxq", None), (2, "wvwvw", None), (3, "½ ² ① Ⅷ", None)], "doc_id long, text string, lang string")
+    assert [row.lang_pred for row in language_id.predict(asked, model, "doc_id").orderBy("doc_id").collect()] == ["q", "w", "und"]
+    assert [row.doc_id for row in language_id.accepted(asked, model).orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_toxicity_of_labels_at_odds(spark):
+    docs = spark.createDataFrame([(k, f"{'vile' if k % 2 else 'kind'} words here {k}") for k in range(60)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    found = {row.doc_id: row.score for row in toxicity.score(docs, model, "doc_id").collect()}
+    assert all((score > 0.5) == bool(key % 2) for key, score in found.items())
+
+
 def test_toxicity_pairs_beat_weights():
     """A term pair decides where neither term does."""
     rng = random.Random(2)
@@ -566,6 +602,41 @@ def test_main_text_without_article():
     assert len(lines) == 3 and all("well chosen" in line for line in lines)
 
 
+LONG = "<p>This is a real paragraph, with words in it, and more of them. It goes on.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, kept, dropped",
+    [
+        (f"<article><h3>Teaser</h3></article><div>{LONG * 4}</div>", ["real paragraph"], []),
+        (f"<form action=x>{LONG * 3}<input></form>", ["real paragraph"], []),
+        (f"<article>{LONG}<form><p>Your name here</p></form></article>", ["real paragraph"], ["Your name"]),
+        (f"<div>{LONG * 3}</div><form><p>Mail me</p></form>", ["real paragraph"], ["Mail me"]),
+        ("<article><p>Before it.</p><select><option>odd<p>After, the rest.</p></article>", ["Before it", "After, the rest"], ["odd"]),
+        ("<article><p>Before it.</p><object data=x><p>After, the rest.</p></article>", ["Before it", "After, the rest"], []),
+        (f"<div><p>Before, the text.</p><iframe src=x></div><div>{LONG}</div>", ["Before", "real paragraph"], []),
+        (f"<div>{LONG * 3}<ul><li>One</li><li>Two</li></ul><table><tr><td>cell</td></tr></table><blockquote>Short</blockquote></div>", ["One\nTwo", "cell", "Short"], []),
+        (f"<body><h1>Title</h1>{LONG * 3}", ["Title"], []),
+        (f"<article>{LONG}<table><tr><td>7</td></tr></table></article>", ["7"], []),
+        ('<p>a <a href="x>y</a> b, c.</p><p>tail, of it.</p>', ["tail"], []),
+        ("<p>if a < b and c > d then, x.</p>", ["if a < b and c > d then, x."], []),
+        ("<p>Some text, yes.</p><a href=", ["Some text"], ["href"]),
+    ],
+)
+def test_main_text_is_not_lost(page, kept, dropped):
+    text = html_text.main_text(page)
+    assert all(part in text for part in kept) and not any(part in text for part in dropped)
+
+
+@pytest.mark.parametrize("part", ["<svg x", "<a ", "<b>x", '<a "', "<a '\">", "<select>", "<div></i>", "<!-- ", "<script ", "<svg>", "<p x='"])
+def test_broken_markup_takes_linear_time(part):
+    page = "<p>" + part * (1_000_000 // len(part))
+    began = time.process_time()
+    html_text.main_text(page)
+    html_text.main_text(page + ">")
+    assert time.process_time() - began < 12
+
+
 def test_pages_of_all_kinds(spark):
     pages = [None, "", "plain", "<p>a<p>b", "<p>unclosed <b>x", "<script>never", "a < b > c", "<!-- open", "<article></article>"]
     rows = [(k, f"u{k}", page, "t") for k, page in enumerate(pages)]
@@ -582,5 +653,46 @@ def test_nothing_in_nothing_out(empty):
     assert packing.pack_documents(empty, vocabulary=tokenizer_path(VOCABULARY)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 384])
+def test_planted_vectors(spark, dim):
+    rng = np.random.default_rng(dim)
+    base = rng.normal(size=(150, dim))
+    rows = [*base, *base[:20], *(2 * base[20:40])]
+    rows += list(base[:100] + rng.normal(size=(100, dim)) * 0.25 * np.linalg.norm(base[:100], axis=1)[:, None] / np.sqrt(dim))
+    rows += list(base[0] + rng.normal(size=(150, dim)) * 0.15 * np.linalg.norm(base[0]) / np.sqrt(dim))  # a dense group
+    given = [(k, row.tolist()) for k, row in enumerate(rows)] + [(3, base[7].tolist()), (None, base[8].tolist()), (9999, [0.0] * dim)]
+    frame = spark.createDataFrame([(*row, 1, "p") for row in given], "vec_id long, embedding array<double>, class int, `a.b` string")
+    unit = np.array([values for _, values in given[:-1]])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    ids = [key for key, _ in given]
+    label = np.arange(len(near))
+    while True:
+        least = np.where(near, label[None, :], len(near)).min(axis=1, initial=len(near))
+        new = np.minimum(label, least)
+        if (new == label).all():
+            break
+        label = new
+    first = {root: min((ids[k] for k in np.flatnonzero(label == root) if ids[k] is not None), default=None) for root in set(label.tolist())}
+    wanted = [(ids[k], int(near[k].sum()), first[label[k]], first[label[k]] == ids[k]) for k in range(len(near))] + [(9999, 0, 9999, True)]
+    found = sorted(map(tuple, vector_dedup.near_duplicates(frame, threshold=0.95).collect()), key=repr)
+    links = sum(n for _, n, _, _ in wanted)
+    assert links > 10_000 and sum(row[1] for row in found) >= 0.998 * links
+    if sum(row[1] for row in found) == links:
+        assert found == sorted(wanted, key=repr)
+
+
+def test_candidates_stay_few():
+    rng = np.random.default_rng(2)
+    shares = []
+    for n in (500, 4000):
+        unit = rng.normal(size=(n, 64))
+        found = vector_dedup.buckets(unit, *vector_dedup.hash_counts(64, n))
+        _, counts = np.unique((found.astype(object) * 64 + np.arange(found.shape[1])[None, :, None]).astype(str).ravel(), return_counts=True)
+        shares.append((counts * (counts - 1) / 2).sum() / n)
+    assert max(shares) < 40 and [vector_dedup.hash_counts(64, n)[1] for n in (500, 50_000, 10**9)] == [2, 3, 5]
+
+
 def test_no_vectors(spark):
     assert vector_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
