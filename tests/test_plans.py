@@ -70,8 +70,8 @@ def test_counting_blobs_reads_one_column(content):
 
 def test_a_manifest_reads_no_bytes(spark, tmp_path):
     (tmp_path / "x").write_text("x")
-    plan = explained(archives.dir_manifest(archives.read_archive_files(spark, str(tmp_path)), 1))
-    assert re.search(r"ReadSchema: struct<path:string>", plan)
+    plan = explained(archives.dir_manifest(archives.walk_tree(spark, str(tmp_path)), 1))
+    assert re.search(r"ReadSchema: struct<path:string,is_file:boolean>", plan)
 
 
 def test_newest_rows_are_found_before_the_shuffle(attempts):
