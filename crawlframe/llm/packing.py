@@ -34,7 +34,7 @@ def cut_pieces(docs: DataFrame, *, vocabulary: str, end_id: int, length: int, wi
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end, step = word_encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 4 * length
-        for batch in small(batches, "text"):
+        for batch in small(batches, "text", 8_000_000):
             rows = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
                 ids += end
@@ -48,7 +48,6 @@ def cut_pieces(docs: DataFrame, *, vocabulary: str, end_id: int, length: int, wi
             if with_ids:
                 made["ids"] = pa.array(columns[5], pa.binary())
             yield pa.RecordBatch.from_pydict(made)
-        encoder.forget()
 
     rows = only(docs, doc_id="bigint", text="string")
     return mapped(rows, cut, PIECE + (", ids binary" if with_ids else ""))

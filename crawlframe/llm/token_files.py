@@ -61,7 +61,7 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str, end_id: in
                 }
             )
 
-        for batch in small(batches, "text"):
+        for batch in small(batches, "text", 8_000_000):
             texts = batch.column("text").to_pylist()
             for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
                 keys.append(key)
@@ -70,7 +70,6 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str, end_id: in
                 if total >= SEGMENT_IDS:
                     yield flush()
                     keys, parts, total, made = [], [], 0, made + 1
-        encoder.forget()
         if keys:
             yield flush()
 

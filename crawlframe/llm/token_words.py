@@ -4,8 +4,8 @@ Where a vocabulary never looks across a blank, every blank-separated word has
 its own ids.  A word of letters with punctuation after it is split further,
 as the vocabulary's own pre-tokenizer does.  Unseen words reach the library
 many at a time, joined by blanks: the last token of each is known by its
-end-of-word mark.  Ids of words are kept for a task, in dictionaries of a fixed
-size.
+end-of-word mark.  Ids of words are kept for the life of a worker, in
+dictionaries of a fixed size.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tokenizers import Encoding, Tokenizer
 from crawlframe.llm.batches import slices
 
 #: Words kept per worker, the longest word worth keeping, words in one text for the library, and texts in one call.
-KEPT_WORDS, KEPT_CHARS, TOGETHER, AT_ONCE = 300_000, 48, 2000, 8
+KEPT_WORDS, KEPT_CHARS, TOGETHER, AT_ONCE = 400_000, 48, 2000, 64
 MARKS = string.punctuation
 END_OF_WORD = "</w>"
 
@@ -37,15 +37,11 @@ class WordEncoder:
         self.letters: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
 
-    def forget(self) -> None:
-        """Drop the ids kept; for the end of a task, as the worker lives on."""
-        self.letters, self.marks = {}, {"": b""}
-
     def raw(self, words: list[str]) -> list[bytes]:
         """Ids of each word by itself."""
         out: list[bytes] = []
-        for at in range(0, len(words), TOGETHER):
-            found = self.tokenizer.encode_batch_fast(words[at : at + TOGETHER], add_special_tokens=False)
+        for at in range(0, len(words), 10 * TOGETHER):
+            found = self.tokenizer.encode_batch_fast(words[at : at + 10 * TOGETHER], add_special_tokens=False)
             out.extend(np.array(one.ids, "<u4").tobytes() for one in found)
         return out
 
@@ -92,7 +88,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = []
-        for a, b in slices([len(text or "") for text in texts], 2_000_000):
+        for a, b in slices([len(text or "") for text in texts], 4_000_000):
             words = [(text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts[a:b]]
             ids = self.learn(set(chain.from_iterable(words))).__getitem__
             out.extend(b"".join(map(ids, some)) for some in words)
