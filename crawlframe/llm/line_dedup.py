@@ -175,8 +175,9 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
     found = stored(suspected(chunks), "suspected-lines")
     spans = found.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     repeats = stored(spans.filter("first < last").select("digest", "first"), "repeated-lines")
-    late = found.join(repeats, "digest").filter("doc > first").select("doc", "mark", "digest").distinct()
-    return late.groupBy("doc", "mark").agg(F.collect_list("digest").alias("lost"))
+    # no distinct between join and shuffle: it would bind all rows of a common line to one task
+    late = found.join(repeats, "digest").filter("doc > first").select("doc", "mark", "digest")
+    return late.groupBy("doc", "mark").agg(F.collect_set("digest").alias("lost"))
 
 
 def drop_lines(text: str | None, lost, least: int) -> tuple[int, list[str]]:
