@@ -90,3 +90,14 @@ def test_snapshot_to_begin_with(spark, tmp_path):
     known = spark.createDataFrame([(1, "finished"), (2, "todo"), (3, "todo"), (3, "finished")], "site_submission_id long, processed_status string")
     add_batch(spark, f"{tmp_path}/events", [(k, "message", 5) for k in (1, 2, 3, 4)])
     assert told(run(spark, tmp_path, known)) == [(2, "reuse", 5, 1), (4, "new", 5, 1)]
+
+
+def test_session_with_another_state_store(spark, tmp_path):
+    """A session that keeps state on the heap runs it too, and has its own setting back."""
+    session = spark.newSession()
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    session.conf.set(C.PROVIDER, other)
+    add_batch(session, f"{tmp_path}/events", [(1, "message", 0), (2, "message", 90), (2, "message", 200)])
+    log = run(session, tmp_path)
+    assert told(log) == [(1, "new", 0, 1), (1, "expired", 60, 1), (2, "new", 90, 1), (2, "expired", 150, 1), (2, "reuse", 200, 2)]
+    assert session.conf.get(C.PROVIDER) == other
