@@ -159,3 +159,11 @@ def test_messages_split(spark):
         0: 12, 1: 12, 2: 7, 3: -3, 11: 5
     }
     assert sorted(r.delivery_tag for r in dead.collect()) == [4, 5, 6, 7, 8, 9, 10]
+
+
+def test_human_size_of_keys_whose_cube_passes_a_long(spark, tmp_path):
+    from workload.content_queries import human
+
+    spark.range(3).selectExpr("element_at(array(5L, 2097152L, 8999999L), int(id) + 1) AS o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = {r.o_orderkey: (r.size, r.text) for r in human(spark, str(tmp_path)).collect()}
+    assert rows == {5: (125, "125.000 Byte"), 2097152: (None, "8.000 EiB"), 8999999: (None, "632.306 EiB")}
