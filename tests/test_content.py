@@ -1,16 +1,20 @@
 from __future__ import annotations
 
 import hashlib
+import lzma
 import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from crawlframe.functions.codecs import from_tar_xz, stored_sizes, to_tar_xz
 from crawlframe.operators import content as C
 from crawlframe.plans.discovery import webpage_rows
 from crawlframe.plans.storage import content_rows
+from crawlframe.session import spread_scan
 from crawlframe.sources import blobs
+from tests.conftest import explained
 
 START = datetime(2024, 1, 1)
 
@@ -162,3 +166,33 @@ def test_blobs_without_a_dictionary_count_too(spark):
 def test_too_little_data_gives_no_dictionary(spark):
     few = sample_table(spark, 2)
     assert [r.dictionary for r in C.codec_dictionary(few, "source", "id", "data").collect()] == [None, None]
+
+
+def test_xz_windows_are_no_longer_than_a_page():
+    """A decoder with little memory reads them, and they are as short as under the preset's own window."""
+    rng = random.Random(1)
+    for size in (0, 1, 700, 70_000, 300_000):
+        body = b"".join(rng.choice([b"page ", b"of the gallery ", rng.randbytes(3)]) for _ in range(size // 5))
+        archive = to_tar_xz(body)
+        assert from_tar_xz(archive) == body
+        lzma.LZMADecompressor(memlimit=len(body) * 2 + 300_000).decompress(archive)
+        assert stored_sizes(body, 9, None)[2] == len(lzma.compress(body))
+
+
+def test_one_row_group_is_spread_over_the_cores(spark, tmp_path):
+    """The scan has a partition per core already, but all rows in one of them."""
+    spark.range(4000).selectExpr("id AS doc_id", "repeat(sha2(string(id), 512), 20) AS text").coalesce(1).write.option(
+        "compression", "none"
+    ).option("parquet.enable.dictionary", "false").parquet(f"{tmp_path}/one")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        scan = spark.read.parquet(f"{tmp_path}/one")
+        assert scan.rdd.getNumPartitions() >= 4
+        sizes = [r["count"] for r in spread_scan(scan, "doc_id").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 2000
+        even = scan.repartition(8, "doc_id")
+        even.write.parquet(f"{tmp_path}/even")
+        assert "Exchange" not in explained(spread_scan(spark.read.parquet(f"{tmp_path}/even"), "doc_id"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
