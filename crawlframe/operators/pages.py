@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.functions.markup import find_elements, plan_selectors
+from crawlframe.functions.pieces import pieces
 from crawlframe.functions.text import strip
 from crawlframe.functions.urls import username_from_url, view_id_from_href
 from crawlframe.profile import (
@@ -48,12 +49,14 @@ def with_elements(
     """``page, elements``: all matches of all (named) selectors, one row per page.
 
     The page is parsed once for all selectors and everything read from it
-    later is a column expression on ``elements``, so nothing is shuffled.
+    later is a column expression on ``elements``, so nothing is shuffled.  The
+    elements of about a megabyte of pages go back at a time: as Python objects
+    they take many times the space of their pages.
     """
     plan = plan_selectors(selectors)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             found = [
                 None if html is None else find_elements(html, plan)
                 for html in (cell.as_py() for cell in batch.column(1))

@@ -20,8 +20,8 @@ from crawlframe.sources.warc_format import DAMAGE, iter_records, payload_or_none
 from crawlframe.sources.warc_source import read_ranges
 
 WARCINFO, RESPONSE = "warcinfo", "response"
-# Page texts go back to Spark in batches of about this many characters.
-_OUTPUT_CHARS = 8 << 20
+# What was found goes back to Spark in batches of about this many characters of pages.
+_OUTPUT_CHARS = 1 << 20
 
 
 def is_warcinfo(record: Column) -> Column:
@@ -116,7 +116,7 @@ def _judged(
                 html = None if page is None else page.decode("utf-8", "backslashreplace")
                 elements = None if html is None else find_elements(html, plan)
                 found.append({"path": path, "sha512": digest, "n_read": size, "html": html if with_text else None, "elements": elements})
-                held += len(html or "") if with_text else 0
+                held += len(html or "")
                 if held > _OUTPUT_CHARS:
                     yield pa.RecordBatch.from_pylist(found, schema=kinds)
                     found, held = [], 0

@@ -12,6 +12,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlframe.functions.pieces import PIECE_BYTES, pieces
 from crawlframe.session import scratch_path
 from crawlframe.sources.warc_format import DAMAGE, iter_records, payload_or_none, plain_bytes
 
@@ -41,8 +42,6 @@ _PARSED = pa.schema(
 )
 # Files in one Arrow batch of a listing.
 _LISTED_ROWS = 10_000
-# Parsed archives go back to Spark once their blocks reach this size.
-_OUTPUT_BYTES = 16 * 1024**2
 
 
 def walk_tree(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
@@ -200,12 +199,12 @@ def with_records(
             digest = hashlib.sha512(stored).hexdigest()
             return {"path": name, "records": records, "error": error, "sha512": digest}
 
-        for batch in batches:
+        for batch in pieces(batches, 1):
             rows, kept = [], 0
             for name, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows.append(parsed(name, blob.as_py() or b""))
                 kept += sum(len(record["block"] or b"") for record in rows[-1]["records"])
-                if kept > _OUTPUT_BYTES:
+                if kept > PIECE_BYTES:  # packed archives
                     yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
                     rows, kept = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
