@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlframe.operators.ordered import SLOT, slot_of
@@ -163,18 +163,33 @@ def orphan_rows(content: DataFrame, attempts: DataFrame) -> DataFrame:
     )
 
 
-def claim_submissions(incoming: DataFrame, submissions: DataFrame, id_column: str = "id") -> DataFrame:
+#: Rows that meet in one task of a claim; sorted on both sides they take some 100 MB.
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: int, spark: SparkSession, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """A task per core, and more where tables are large, so that a task's memory does not grow with them."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
+def claim_submissions(
+    incoming: DataFrame, submissions: DataFrame, id_column: str = "id", rows_per_task: int | None = ROWS_PER_TASK
+) -> DataFrame:
     """What to do with each distinct incoming id: ``id, action``.
 
     ``skip`` if its row is finished, ``reuse`` if its row is not, ``new``
-    without a row, ``conflict`` if it has several rows.
+    without a row, ``conflict`` if it has several rows.  Both sides are counted
+    and dealt out in tasks of about ``rows_per_task``; None leaves that to
+    adaptive execution, for small inputs.
     """
     wanted = incoming.select(F.col(id_column).cast("long").alias("id")).filter(
         F.col("id").isNotNull()
     )
-    theirs = submissions.join(
-        wanted.select(F.col("id").alias(SITE_ID)).distinct(), SITE_ID, "left_semi"
-    )
+    ids, rows = wanted.distinct(), submissions
+    if rows_per_task:
+        n = tasks_for(wanted.count() + rows.count(), rows.sparkSession, rows_per_task)
+        ids, rows = ids.repartition(n, "id"), rows.filter(F.col(SITE_ID).isNotNull()).repartition(n, SITE_ID)
+    theirs = rows.join(ids.select(F.col("id").alias(SITE_ID)), SITE_ID, "left_semi")
     known = theirs.groupBy(F.col(SITE_ID).alias("id")).agg(
         F.count("*").alias("_rows"), F.max("processed_status").alias("_status")
     )
@@ -184,7 +199,7 @@ def claim_submissions(incoming: DataFrame, submissions: DataFrame, id_column: st
         .when(F.col("_status") == "finished", "skip")
         .otherwise("reuse")
     )
-    return wanted.distinct().join(known, "id", "left").select("id", action.alias("action"))
+    return ids.join(known, "id", "left").select("id", action.alias("action"))
 
 
 def apply_claims(
@@ -192,14 +207,20 @@ def apply_claims(
 ) -> DataFrame:
     """Snapshot after the claims: reused rows re-dated, new rows added as ``todo``.
 
-    A new row's key is its id, the same whenever the job is run again.
+    A new row's key is its id, the same whenever the job is run again.  Rows
+    are counted and dealt out in tasks of about :data:`ROWS_PER_TASK`; those
+    without an id meet no claim and are not moved.
     """
+    n = tasks_for(submissions.count(), submissions.sparkSession)
     reused = claims.filter(F.col("action") == "reuse").select(
         F.col("id").alias(SITE_ID), F.lit(True).alias("_reuse")
     )
     columns = submissions.columns
+    has_id = F.col(SITE_ID).isNotNull()
     kept = (
-        submissions.join(reused, SITE_ID, "left")
+        submissions.filter(has_id)
+        .repartition(n, SITE_ID)
+        .join(reused.repartition(n, SITE_ID), SITE_ID, "left")
         .withColumn("date_visited", F.when(F.col("_reuse"), visited_at).otherwise(F.col("date_visited")))
         .withColumn("claimed_by", F.when(F.col("_reuse"), worker).otherwise(F.col("claimed_by")))
         .select(*columns)
@@ -212,7 +233,7 @@ def apply_claims(
         F.lit("todo").alias("processed_status"),
         worker.alias("claimed_by"),
     )
-    return kept.unionByName(added.select(*columns))
+    return kept.unionByName(submissions.filter(~has_id)).unionByName(added.select(*columns))
 
 
 def finish_submissions(

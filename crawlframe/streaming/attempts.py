@@ -120,7 +120,7 @@ def stream_skip_finished(
             known = known.unionByName(added.withColumn("processed_status", F.lit("todo")))
             status = F.when(F.col("_done"), "finished").otherwise(F.col("processed_status"))
             known = known.join(done, SITE_ID, "left").select(SITE_ID, status.alias("processed_status"))
-            claims = claim_submissions(ids, known, SITE_ID)
+            claims = claim_submissions(ids, known, SITE_ID, None)
             write_batch(claims.filter(F.col("action") != "skip"), claims_path, batch_id)
 
     return run_batches(messages, each, checkpoint, available_now)

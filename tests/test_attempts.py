@@ -11,6 +11,7 @@ from crawlframe import schemas
 from crawlframe.operators import attempts as A
 from crawlframe.operators import names as N
 from crawlframe.sources import tables
+from tests.conftest import explained
 
 START = datetime(2024, 1, 1)
 COLUMNS = (
@@ -200,3 +201,18 @@ def test_stored_column_name_is_accepted(spark, tmp_path):
     rows = tables.read_crawl_table(spark, str(tmp_path / "t"), "submission")
     assert rows.columns == schemas.TABLES["submission"].names
     assert {r.site_submission_id for r in rows.collect()} == {10, 20, 30, 40}
+
+
+def test_claims_are_dealt_by_the_number_of_rows(spark):
+    """As many tasks as the rows ask for, whatever their keys; rows without an id stay as they are."""
+    assert A.tasks_for(9_000_000, spark) == 18 and A.tasks_for(3, spark) == spark.sparkContext.defaultParallelism
+    incoming = spark.createDataFrame([(i,) for i in [10, 20, 20, 30, 40, 50, 50, None]], "id long")
+    nobody = spark.createDataFrame([(6, None, START, "unknown", "todo", "a")] * 2, SUBMISSION)
+    table = submission_table(spark).union(nobody)
+    claims = A.claim_submissions(incoming, table, rows_per_task=1)
+    assert claims.rdd.getNumPartitions() == 14
+    left_to_spark = A.claim_submissions(incoming, table, rows_per_task=None)
+    assert sorted(map(tuple, claims.collect())) == sorted(map(tuple, left_to_spark.collect()))
+    after = A.apply_claims(table, claims, F.lit("2025-01-01").cast("timestamp"), F.lit("me"))
+    assert after.filter("site_submission_id IS NULL AND claimed_by = 'a'").count() == 2 and after.count() == 8
+    assert "REPARTITION_BY_NUM" in explained(after)
