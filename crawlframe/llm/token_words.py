@@ -14,6 +14,7 @@ import string
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import numpy as np
 from tokenizers import Encoding, Tokenizer
@@ -66,17 +67,22 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of all these words."""
-        cores = {word: core for word in words if (core := word.rstrip(MARKS).lower()).isalpha() and "Σ" not in word}
-        wanted = set(cores.values())
-        missing = list(wanted.difference(self.letters))
-        if len(self.letters) + len(missing) > KEPT_WORDS:
-            self.letters, missing = {}, list(wanted)
-        self.letters.update(zip(missing, self.of_letters(missing)))
         letters, marks = self.letters, self.marks
-        tails = {word[len(core) :] for word, core in cores.items()}.difference(marks)
-        marks.update(zip(tails, self.raw(list(tails))))
-        found = {word: letters[core] + marks[word[len(core) :]] for word, core in cores.items()}
-        whole = list(words.difference(cores))
+        same = letters.keys() & words  # kept as they stand, without case or punctuation
+        found = dict(zip(same, map(letters.__getitem__, same)))
+        rest = words.difference(same)
+        cores = {word: core for word in rest if (core := word.rstrip(MARKS).lower()).isalpha() and "Σ" not in word}
+        wanted = set(cores.values())
+        missing = list(wanted.difference(letters))
+        if len(letters) + len(missing) > KEPT_WORDS:
+            letters, missing = {}, list(wanted)
+            self.letters = letters
+        letters.update(zip(missing, self.of_letters(missing)))
+        tails = [word[len(core) :] for word, core in cores.items()]
+        unseen = list(set(tails).difference(marks))
+        marks.update(zip(unseen, self.raw(unseen)))
+        found.update(zip(cores, map(add, map(letters.__getitem__, cores.values()), map(marks.__getitem__, tails))))
+        whole = list(rest.difference(cores))
         found.update(zip(whole, self.raw(whole)))
         for core in wanted:
             if len(core) > KEPT_CHARS:

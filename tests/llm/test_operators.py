@@ -24,6 +24,7 @@ from crawlframe.llm import (
     simhash,
     suffix_dedup,
     token_files,
+    token_words,
     toxicity,
     vector_dedup,
 )
@@ -351,6 +352,17 @@ def test_any_word_ids_equal_the_library(text):
     assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_looks_up_kept_words_as_they_stand(monkeypatch):
+    """Words kept from before need no second look, also where the same call makes room for others."""
+    encoder = token_words.WordEncoder(tokenizer_path(VOCABULARY))
+    monkeypatch.setattr(token_words, "KEPT_WORDS", 8)
+    texts = ["the sea is wide", "The sea, the sea! is it wide? 12 b4 Straße ΣΟΦΟΣ", "the sea of one two three four five six seven eight", "sea is"]
+    for text in texts + texts[::-1]:
+        (ids,) = encoder.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+
 def ids_of(texts, end):
     tokenizer = word_encoder(tokenizer_path(VOCABULARY)).tokenizer
     encoded = tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
