@@ -36,7 +36,7 @@ def cut_pieces(docs: DataFrame, *, vocabulary: str, end_id: int, length: int, wi
         encoder, end, step = word_encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 4 * length
         for batch in small(batches, "text", 8_000_000):
             rows = []
-            for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+            for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids += end
                 for at in range(0, len(ids), step):
                     part = ids[at : at + step]

@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -362,6 +363,31 @@ def test_word_encoder_looks_up_kept_words_as_they_stand(monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_takes_arrow_columns(monkeypatch):
+    """Slices of a column, with nulls, white space of all kinds and words that no table keeps."""
+    encoder = token_words.WordEncoder(tokenizer_path(VOCABULARY))
+    monkeypatch.setattr(token_words, "KEPT_MARKS", 3)
+    texts = ["cut off", None, "", " \t\n", "a\vb\fc\r\nd\xa0e\u2003f", "İ İx i̇ ΣΑΣ K Å", "x" * 60 + ".", "end" + "!" * 60, "a. b, c; d: e? f!", "a+ b- c* don't 'x' <|endoftext|>", "a.", "cut off"]
+    got = encoder.encode(pa.array(texts, pa.string())[1:-1])
+    wanted = [encoder.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts[1:-1]]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == wanted
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_word_encoder_asks_the_library_once_for_words_at_hand(monkeypatch):
+    """Where the table is full, the known words of the call stay, and a repeated word is asked for once."""
+    monkeypatch.setattr(token_words, "KEPT_WORDS", 8)
+    asked = []
+    of_letters = token_words.WordEncoder.of_letters
+    monkeypatch.setattr(token_words.WordEncoder, "of_letters", lambda self, words: asked.append(sorted(words)) or of_letters(self, words))
+    encoder = token_words.WordEncoder(tokenizer_path(VOCABULARY))
+    texts = ["one two three four five six", "One two, two three four seven (eight nine. nine!", "One seven, eight nine.", "five"]
+    for text in texts:
+        (ids,) = encoder.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(filter(None, asked)) == [["five", "four", "one", "six", "three", "two"], ["nine", "seven"], ["eight"], ["five"]]
+
+
 
 def ids_of(texts, end):
     tokenizer = word_encoder(tokenizer_path(VOCABULARY)).tokenizer
