@@ -101,3 +101,34 @@ def test_session_with_another_state_store(spark, tmp_path):
     log = run(session, tmp_path)
     assert told(log) == [(1, "new", 0, 1), (1, "expired", 60, 1), (2, "new", 90, 1), (2, "expired", 150, 1), (2, "reuse", 200, 2)]
     assert session.conf.get(C.PROVIDER) == other
+
+
+def test_ids_of_a_range_share_their_state(spark, tmp_path):
+    """The store is called and a timer set per range of ids, not per id."""
+    ids = range(-600, 600)
+    add_batch(spark, f"{tmp_path}/events", [(k, "message", k % 7) for k in ids])
+    events = spark.readStream.schema(C.EVENT).parquet(f"{tmp_path}/events")
+    query = C.stream_claims(events, f"{tmp_path}/claim", f"{tmp_path}/check", LIMIT, "0 seconds")
+    query.awaitTermination()
+    updated = [one["numRowsUpdated"] for batch in query.recentProgress for one in batch["stateOperators"]]
+    assert 0 < sum(updated) < 60
+    log = told(read_batches(spark, f"{tmp_path}/claim", C.CLAIM_LOG))
+    assert sorted(log) == sorted((k, "new", k % 7, 1) for k in ids)
+
+
+def test_ranges_with_many_deadlines(spark, tmp_path):
+    """The timer of a range goes from deadline to deadline, over negative ids and moments of any year too."""
+    rng = random.Random(8)
+    events = [(rng.randrange(-300, 300), rng.choice(["message", "message", "finished"]), rng.randrange(900)) for _ in range(900)]
+    events += [(1000, "message", 1200), (1000, "message", 1_000_000_000)]
+    ordered = sorted(events, key=lambda one: one[2])
+    for k in range(3):
+        add_batch(spark, f"{tmp_path}/events", ordered[k * 902 // 3 : (k + 1) * 902 // 3])
+    log, _ = by_hand(events, 1_000_000_000)
+    assert sorted(told(run(spark, tmp_path))) == sorted(log)
+
+
+def test_packed_claims():
+    claims = {-7: (C.CLAIMED, -1, 2, 3), 2**62: (C.FINISHED, 2**53, 1, 2), 0: (C.EXPIRED, 0, 0, 0)}
+    assert C.unpack(C.pack(claims)) == claims
+    assert C.next_ring(claims) == -1 and C.next_ring({}) is None and C.unpack(b"") == {}
