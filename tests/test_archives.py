@@ -11,6 +11,7 @@ from crawlframe.operators import records as R
 from crawlframe.plans.audit import audit_archives, audit_pending
 from crawlframe.profile import DELETED_TEXT
 from crawlframe.sources import archives as A
+from workload import record_queries
 
 VIEW = "https://www.gallery.example/view/12/"
 
@@ -179,6 +180,15 @@ def test_record_block_is_one_row_in_line_order(spark):
     assert A.record_block(table, "rec", "line_no", lines_per_segment=4).collect() == whole
 
 
+def test_blocks_of_empty_and_long_texts(spark, tmp_path):
+    """An empty text is an empty block, and a long one is cut in memory that grows with its length alone."""
+    texts = {1: "", 2: "\u00e9" * 1000, 3: "0123456789" * 300_000, 4: "a" * 1000}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    blocks = record_queries.block(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.block for r in blocks} == texts
+
+
 def test_long_record_is_one_row(spark):
     line = F.to_json(F.struct(F.struct(F.base64(F.lit(b"ab")).alias("data")).alias("BlockChunk")))
     lines = spark.range(20_000).select(F.lit(1).alias("rec"), F.col("id").alias("line_no"), line.alias("value"))

@@ -145,16 +145,18 @@ def index(spark, d):
 )
 def block(spark, d):
     """Texts cut into base64 chunk lines, put together again."""
-    data = F.col("text").cast("binary")
-    starts = F.sequence(F.lit(0), F.octet_length("text") - 1, F.lit(1000))
-    pieces = frames.table(spark, d, "documents").select(
-        "doc_id", "text", F.posexplode(starts).alias("n", "at")
+    starts = F.sequence(F.lit(0), F.greatest(F.octet_length("text") - 1, F.lit(0)), F.lit(1000))
+    # The bytes are made once and cut inside; a text beside each of its pieces would take
+    # the square of its length in memory, as Spark holds all pieces of a row at once.
+    cut = F.transform(
+        F.array(F.col("text").cast("binary")),
+        lambda data: F.transform(starts, lambda at: F.base64(F.substring(data, at + 1, F.lit(1000)))),
     )
-    chunk = F.base64(F.substring(data, F.col("at") + 1, F.lit(1000)))
+    pieces = frames.table(spark, d, "documents").select("doc_id", F.posexplode(cut[0]).alias("n", "chunk"))
     lines = pieces.select(
         "doc_id",
         (F.col("n") + 1).cast("long").alias("line_no"),
-        F.to_json(F.struct(F.struct(chunk.alias("data")).alias("BlockChunk"))).alias("value"),
+        F.to_json(F.struct(F.struct(F.col("chunk").alias("data")).alias("BlockChunk"))).alias("value"),
     ).unionByName(
         frames.table(spark, d, "documents").select(
             "doc_id",
