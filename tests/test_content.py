@@ -15,6 +15,7 @@ from crawlframe.plans.storage import content_rows
 from crawlframe.session import spread_scan
 from crawlframe.sources import blobs
 from tests.conftest import explained
+from workload import content_queries
 
 START = datetime(2024, 1, 1)
 
@@ -156,6 +157,17 @@ def test_dictionaries_use_every_sample_in_bounded_shards(spark):
     assert size[("big", "none")].avg_ratio == 1.0
 
 
+def test_dictionaries_of_the_query_are_whole(spark):
+    """They hold up to a megabyte, not the first few segments that fit a small one."""
+    pytest.importorskip("zstandard")
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(20_000)]
+    rows = [(k, "s" if k % 4 else "t", bytearray(" ".join(rng.choices(words, k=8_000)).encode())) for k in range(80)]
+    samples = spark.createDataFrame(rows, "doc_id long, source string, data binary")
+    sizes = {r.source: len(r.dictionary) for r in content_queries._dictionaries(samples).collect()}
+    assert sizes["s"] == 1024**2 and 500_000 < sizes["t"] <= 1024**2
+
+
 def test_blobs_without_a_dictionary_count_too(spark):
     few = sample_table(spark, 3)
     trained = C.codec_dictionary(few, "source", "id", "data")
